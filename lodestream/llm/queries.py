@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.llm import bpe, mixing, sharding, token_counts
+from lodestream.llm import bpe, embeddings, mixing, sharding, simhash, token_counts
 from lodestream.llm.shared import table
 
 
@@ -27,6 +27,14 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (mixed["size"] * mixed["copies"]).alias("taken"), "copies")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
 
@@ -38,6 +46,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_source_mixing": op2_source_mixing,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_sharding": op6_sharding,
     "op8_token_counts": op8_token_counts,
 }
