@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.llm import bpe, embeddings, mixing, sharding, simhash, token_counts
+from lodestream.llm import bpe, embeddings, lattice_lm, mixing, secret_scan, sharding, simhash, token_counts, toxicity
 from lodestream.llm.shared import table
 
 
@@ -27,6 +27,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (mixed["size"] * mixed["copies"]).alias("taken"), "copies")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fitted(docs))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,17 +44,29 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"))))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(), limit=512)
 
 
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_source_mixing": op2_source_mixing,
+    "op3_secret_scan": op3_secret_scan,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op10_lattice_lm": op10_lattice_lm,
 }
 
 #: DuckDB SQL for the queries whose rows SQL can state; the others are tested against brute force.
