@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.llm import bpe, embeddings, lattice_lm, mixing, secret_scan, sharding, simhash, token_counts, toxicity
+from lodestream.llm import audio, bpe, embeddings, lattice_lm, mixing, secret_scan, sharding, simhash, token_counts, toxicity
 from lodestream.llm.shared import table
 
 
@@ -53,6 +53,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(), limit=512)
 
 
+def op9_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # No table holds sound, so Spark derives a recording from every vector of `embeddings`.
+    recordings = audio.sonified(table(spark, sf_dir, "embeddings"))
+    return audio.align(audio.fingerprints(recordings, key="vec_id"), key="vec_id")
+
+
 def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_audio_fingerprints": op9_audio_fingerprints,
     "op10_lattice_lm": op10_lattice_lm,
 }
 
