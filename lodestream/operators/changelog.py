@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-META = T.StructType.fromDDL("_op string, _lsn long, _kafka_offset long, _kafka_partition int, _ingested_at timestamp, _source_ts timestamp")
+from lodestream.schema import struct
+
+META = struct("_op string, _lsn long, _kafka_offset long, _kafka_partition int, _ingested_at timestamp, _source_ts timestamp")
 DELETE = "d"
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestream.schema import struct
+
 
 class Change(IntEnum):
     """Classes of change, by severity."""
@@ -106,7 +108,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
 
 
-AUDIT = T.StructType.fromDDL("detected_at timestamp, `table` string, column_name string, change string, from_type string, to_type string")
+AUDIT = struct("detected_at timestamp, table string, column_name string, change string, from_type string, to_type string")
 
 
 class Registry:

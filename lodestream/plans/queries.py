@@ -14,6 +14,7 @@ from lodestream.functions import scalars as S
 from lodestream.operators import changelog, incremental, joins, quality, scd2
 from lodestream.plans import bindings as B
 from lodestream.plans import intermediate, marts, serving
+from lodestream.schema import struct
 from lodestream.session import configured
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,7 +91,7 @@ def union_by_offset(spark, sf_dir):
     return longs(out.select("_kafka_partition", "_kafka_offset", "event_id", "value"), "_kafka_partition")
 
 
-_PAYLOAD = T.StructType.fromDDL("id long, event_type string, value double")
+_PAYLOAD = struct("id long, event_type string, value double")
 
 
 def _messages(spark, sf_dir) -> DataFrame:

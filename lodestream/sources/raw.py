@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from lodestream.operators.incremental import exists
 from lodestream.operators.schema_guard import AUDIT
+from lodestream.schema import struct
 
-FX_RATES = T.StructType.fromDDL("rate_date date, currency_code string, rate_to_usd double, source string, is_month_close boolean")
-HOLIDAYS = T.StructType.fromDDL("holiday_date date, holiday_name string, country_code string, affects_volume boolean")
-LAYOUT = T.StructType.fromDDL("_ingested_date date, _offset_block long")
+FX_RATES = struct("rate_date date, currency_code string, rate_to_usd double, source string, is_month_close boolean")
+HOLIDAYS = struct("holiday_date date, holiday_name string, country_code string, affects_volume boolean")
 
 
 def raw_source(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -53,7 +53,8 @@ def lookup(df: DataFrame, column: str, value=None) -> DataFrame:
 
 def manifest(df: DataFrame, day: str = "_ingested_date") -> DataFrame:
     """(day, objects, rows) of a raw table that is read from files."""
-    return df.groupBy(day).agg(F.count_distinct(F.input_file_name()).alias("objects"), F.count("*").alias("rows"))
+    files = df.select(day, F.input_file_name().alias("_file"))
+    return files.groupBy(day, "_file").agg(F.count("*").alias("n")).groupBy(day).agg(F.count("*").alias("objects"), F.sum("n").alias("rows"))
 
 
 def bulk_snapshot(df: DataFrame, key: str, taken_at, parts: int | None = None) -> DataFrame:

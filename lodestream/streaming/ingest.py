@@ -17,10 +17,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lodestream.operators.changelog import META, parse_changes, unparseable
 from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, conform
+from lodestream.schema import struct
 from lodestream.sources.sinks import append_audit, dead_batch, dead_records, write_batch
 
 #: What a source must give: the columns of a message broker.
-RECORD = T.StructType.fromDDL("value string, topic string, partition int, offset long, timestamp timestamp")
+RECORD = struct("value string, topic string, partition int, offset long, timestamp timestamp")
 FLUSH_RECORDS, FLUSH_SECONDS = 50_000, 60
 
 
