@@ -1,0 +1,202 @@
+"""Tokens, secrets, toxicity and language-model scores against the libraries and brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from lodestream.llm import bpe, lattice_lm, secret_scan, token_counts, toxicity
+from lodestream.llm.queries import vocabulary_path
+from pyspark.sql import functions as F
+
+PATH = vocabulary_path()
+PIECES = vocabulary_path("piece_bpe_32k.model")
+ALPHABET = ["a", "b", " ", "  ", "\n", "'s", "é", "<|endoftext|>", "<|endof", " ", "日本", "😀", ".", "!", "\t", "\r\n", "the", "aaaaaaa", "\x1c", "\x85", "'ll", "'LL", "²", "_", "1"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def random_texts(n, longest, seed=0):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, longest))) for _ in range(n)]
+
+
+def test_encoding_equals_the_library(library):
+    coder = bpe.ByteBpe(PATH)
+    texts = random_texts(500, 40)
+    for ids, theirs in zip(coder.encode(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == theirs.ids
+        assert coder.decode_bytes(ids).decode() == library.decode(theirs.ids, skip_special_tokens=False)
+
+
+def test_round_trip_digests(edge, library):
+    want = set()
+    for r in edge.collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want.add((r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    got = bpe.round_trip_digests(edge, PATH)
+    assert {tuple(r) for r in got.collect()} == want and got.count() == edge.count()
+    assert bpe.round_trip_digests(edge.limit(0), PATH).count() == 0
+
+
+def test_encode_and_decode_keep_columns(edge):
+    both = bpe.decode(bpe.encode(edge, PATH), PATH)
+    assert set(edge.columns) < set(both.columns)
+    assert both.filter("decoded <> coalesce(text, '')").count() == 0
+
+
+@pytest.mark.parametrize("chunk, overlap", [(50, 4), (64, 16), (700, 32)])
+def test_chunked_counts(chunk, overlap):
+    coder = bpe.ByteBpe(PATH)
+    for t in [*random_texts(80, 300, 1), "a" * 3000, "日本" * 1500, " " * 999]:
+        assert token_counts.count_in_chunks(coder, t, chunk, overlap) == len(coder.encode([t])[0]) // 4
+
+
+def test_token_counts(edge, library):
+    got = {tuple(r) for r in token_counts.token_counts(edge, PATH, limit=20, chunk=100).collect()}
+    want = set()
+    for r in edge.collect():
+        n = len(library.encode(r["text"] or "", add_special_tokens=False).ids)
+        want.add((r["doc_id"], len((r["text"] or "").encode()), n, n > 20))
+    assert got == want
+
+
+def base_by_rule(text):
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m.group(2)) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24])
+
+
+def test_base_spans_equal_the_rules():
+    rng = random.Random(5)
+    parts = ["a", "f", "0", "AKIA", "ABCD1234EFGH5678", "token", "TOKEN", "ſecret", "secret", "api_key", " = ", ":", '"', "'", " ", "g", "0123456789abcdef", "K", "abcdef123456", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+        assert secret_scan.base_spans(text) == base_by_rule(text)
+
+
+def test_scan_and_redaction(edge, documents):
+    docs = documents.select("doc_id", "text").unionByName(edge.select("doc_id", "text"))
+    net = secret_scan.fitted(docs)
+    texts = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    found = Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in secret_scan.scan(docs, net).collect())
+    for i, t in texts:
+        base = base_by_rule(t or "")
+        n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
+        digest = hashlib.sha256(",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
+        assert (i, *n, digest) in found
+    clean = secret_scan.redact(edge, net)
+    assert clean.columns == edge.columns and clean.count() == edge.count()
+    assert clean.filter("text like '%hunter2%' or text like '%AKIAABCD%'").count() == 0
+    assert clean.filter("text is null").count() == 1
+    assert secret_scan.scan(edge.limit(0), net).count() == 0
+
+
+def test_network_learns_secrets_without_their_labels():
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcdefghilmnorstu") for _ in range(n))
+    found, other, plain = [], [], []
+    for _ in range(400):
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        t = f'{word(7)} {word(4)} token = "{value}" {word(5)}'
+        s, _, e = secret_scan.base_spans(t)[0]
+        found.append(secret_scan.window(t, s, e))
+        t = f"{word(7)} {word(12)} {word(5)}"
+        plain.append(secret_scan.window(t, 8, 20))
+    net = secret_scan.train(np.array(found), np.zeros((0, secret_scan.WINDOW), np.uint8), np.array(plain))
+    bare = f"see {word(6)} 9f8e7d6c5b4a39281706f5e4d3c2b1a0998877 ok"
+    p = net.probability(np.array([secret_scan.window(bare, 11, 49)]))
+    assert p[0] > 0.5 and net.probability(np.array(plain)).max() < net.threshold
+    assert secret_scan.train(np.zeros((0, secret_scan.WINDOW), np.uint8), np.array(plain), np.array(plain)).threshold > 1
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(rng.randint(1, 4)))
+    rows = []
+    for i in range(900):
+        words, toxic = [word() for _ in range(60)], i % 6 == 0
+        for _ in range(4 * toxic):
+            words.insert(rng.randint(0, 60), rng.choice(["grubel", "grubelit", "snorfax"]))
+        rows.append((i, " ".join(words), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = toxicity.labelled_sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert len(sample) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in rows)
+    out = toxicity.score(df.select("doc_id", "text"), toxicity.train(sample)).join(df.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
+    assert sum(r["predicted"] == r["toxic"] for r in out) / len(out) > 0.97
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out)
+
+
+def test_toxicity_edges(edge):
+    model = toxicity.train([("bad grubel", 1), ("fine day", 0), ("good day", 0)])
+    out = toxicity.score(edge, model)
+    assert out.count() == edge.count() and out.filter("score is null or score < 0 or score > 1").count() == 0
+    assert out.filter("held_out is null").count() == 1
+    assert toxicity.score(edge, toxicity.train([])).filter("predicted = 1").count() == 0
+    kept = toxicity.score(edge, model, keep=True)
+    assert kept.columns == [*edge.columns, "_toxic"]
+
+
+def lattice_by_hand(pieces, vocabulary, word, score):
+    word = "▁" + word
+    best = [0.0] + [-math.inf] * len(word)
+    for j in range(1, len(word) + 1):
+        for i in range(j):
+            if word[i:j] in vocabulary:
+                best[j] = np.logaddexp(best[j], best[i] + score[vocabulary[word[i:j]]])
+        if word[j - 1] not in vocabulary:
+            best[j] = np.logaddexp(best[j], best[j - 1] + sum(score[pieces.bytes[b]] for b in word[j - 1].encode()))
+    return best[-1]
+
+
+@pytest.fixture(scope="module")
+def piece_vocabulary():
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    return {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
+
+
+def test_lattice_sums_all_segmentations(piece_vocabulary):
+    pieces = lattice_lm.pieces_at(PIECES)
+    words = ["the", "hello", "日本語xyz", "é", "😀", "a" * 60, "thheea", "▁", "", "q" * 300]
+    want = [lattice_by_hand(pieces, piece_vocabulary, w, pieces.start) for w in words]
+    assert np.allclose(pieces.score(words, pieces.start), want)
+    # Expected counts spell the words: the characters of the pieces add up to those of the words.
+    plain = ["the", "hello", "thheea"]
+    n = pieces.expect(plain, np.array([1.0, 2.0, 3.0]), pieces.start)
+    letters = sum(n[i] * len(p) for p, i in piece_vocabulary.items())
+    assert math.isclose(letters, sum(c * (len(w) + 1) for w, c in zip(plain, (1, 2, 3), strict=True)))
+
+
+@pytest.mark.parametrize("head", [3, 200_000])
+def test_scores_against_brute_force(spark, edge, documents, piece_vocabulary, monkeypatch, head):
+    monkeypatch.setattr(lattice_lm, "HEAD_WORDS", head)
+    docs = documents.limit(60).select("doc_id", "text").unionByName(edge.select((F.col("doc_id") + 10_000_000).alias("doc_id"), "text"))
+    rows = docs.collect()
+    learn, count = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2, Counter()
+    tokens = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), None]) for r in rows]
+    for i, words in tokens:
+        if learn(i):
+            count.update(words)
+    n, v = sum(count.values()), len(count)
+    want = Counter()
+    for i, words in tokens:
+        base = sum(math.log10((count[w] + 1) / (n + v + 1)) for w in words)
+        want[(i, None if i is None else not learn(i), len(words), sum(count[w] > 0 for w in words), n, round(base, 6))] += 1
+    got = lattice_lm.score_texts(docs, PIECES).collect()
+    assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+    if head == 3:
+        assert lattice_lm.score_texts(docs.limit(0), PIECES).count() == 0
