@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lodestream.llm.shared import id_remainder, text_of, texts_in, written
 
-#: The words that every task knows without a join: a fixed number, the most frequent ones. All others are joined.
+#: The most words that every task knows without a join, the most frequent ones. All others are joined.
 HEAD_WORDS = 200_000
 #: Rounds of fitting, and the count that each piece has before any.
 ROUNDS, PRIOR = 2, 0.01
@@ -255,9 +255,19 @@ def score_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
         words.mapInArrow(lattice, "word binary, train long, total long, score double").select("word", "total", (F.col("train") > 0).cast("long").alias("known"), base_of.alias("base"), "score"),
         "lm-words",
     )
-    head = scored.orderBy(F.desc("total"), "word").limit(HEAD_WORDS).select("word", "known", "base", "score").collect()
-    sent = spark.sparkContext.broadcast(pickle.dumps({bytes(r["word"]): (r["known"], r["base"], r["score"]) for r in head}, protocol=5))
-    del head
+    # The rank of the last head word comes from a histogram of counts on a log scale, a few hundred rows at any size.
+    level = F.floor(F.log2("total") * 16).cast("long")
+    histogram = scored.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    held, lowest = 0, 1 << 40
+    for r in histogram:
+        held += r["n"]
+        if held > HEAD_WORDS:
+            break
+        lowest = r["level"]
+    head = scored.filter(level >= lowest).select("word", "known", "base", "score").toArrow()
+    values = np.stack([head.column(c).to_numpy().astype(np.float64) for c in ("known", "base", "score")], axis=1)
+    sent = spark.sparkContext.broadcast(pickle.dumps((head.column("word").to_pylist(), values), protocol=5))
+    del head, values
     end_base, end_score = math.log10((ends + 1) / (n + v + 1)), float(piece_score[pieces_at(path).end]) * per_ten
 
     tail_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
@@ -270,9 +280,9 @@ def score_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     arrow_tail = pa.struct([("word", pa.binary()), ("n", pa.int64())])
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = pickle.loads(sent.value)
+        head, values = pickle.loads(sent.value)
         number = {w: k for k, w in enumerate(head)}
-        values = np.array([*head.values(), (0, 0.0, 0.0)])
+        values = np.concatenate([values, np.zeros((1, 3))])
         for batch in batches:
             for start, texts in texts_in(batch, text):
                 tokens, sum_, tail_words, tail_n, tail_ends = [], [], [], [], [0]
