@@ -76,8 +76,9 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plans(spark: SparkSession) -> DataFrame:
     from lodestream.plans.marts import dim_plan
 
-    rows = spark.createDataFrame([(i, code, cents, "USD", code != "legacy_starter", i) for i, code, cents in PLANS], "plan_id int, plan_code string, monthly_cents long, currency_code string, is_active boolean, price_rank int")
-    return dim_plan(rows)
+    values = ", ".join(f"({i}, '{code}', {cents}L, 'USD', {code != 'legacy_starter'}, {i})" for i, code, cents in PLANS)
+    # An inline table has a known size, so Spark broadcasts it by itself.
+    return dim_plan(spark.sql(f"SELECT * FROM VALUES {values} AS t(plan_id, plan_code, monthly_cents, currency_code, is_active, price_rank)"))
 
 
 LIFECYCLE = f"""plans(plan_id, plan_code, monthly_cents) AS (VALUES {', '.join(str(p) for p in PLANS)}),

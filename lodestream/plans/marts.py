@@ -169,8 +169,9 @@ def fct_mrr_daily(periods: DataFrame, dim_plan_: DataFrame, run_as_of, first: Co
     """
     last = F.lit(run_as_of).cast("date")
     plans = dim_plan_.select("plan_id", "plan_tier", "monthly_cents")
-    earning = interval_days(periods.filter("can_earn_revenue").select("subscription_id", "customer_id", "plan_id", "revenue_from", "valid_to"), "revenue_from", "valid_to", last, first)
-    daily = earning.join(plans, "plan_id").withColumn("days_in_month", S.days_in_month(F.col("date_day"))).withColumn("_cents", F.col("monthly_cents").cast("double") / F.col("days_in_month"))
+    # Plans are joined before the periods become days: few rows move, and few plans are no join key for many.
+    earning = periods.filter("can_earn_revenue").select("subscription_id", "customer_id", "plan_id", "revenue_from", "valid_to").join(plans, "plan_id")
+    daily = interval_days(earning, "revenue_from", "valid_to", last, first).withColumn("days_in_month", S.days_in_month(F.col("date_day"))).withColumn("_cents", F.col("monthly_cents").cast("double") / F.col("days_in_month"))
     whole = F.max("days_in_month")
     tier = lambda t: (F.sum(F.when(F.col("plan_tier") == t, F.col("_cents")).otherwise(F.lit(0.0))) * whole).alias(f"mrr_{t}_cents")
     out = daily.groupBy("date_day").agg(
