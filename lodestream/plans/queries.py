@@ -639,6 +639,48 @@ def dq_mrr_jump(spark, sf_dir):
     return quality.absurd_mrr(daily).select("date_day", "mrr_cents", "before_cents", "reason")
 
 
+@query(_LATEST + " AND _op = 'd'")
+def dq_deleted_events(spark, sf_dir):
+    """Keys whose last change is a delete: asked of the log with deletes, where there are any."""
+    out = quality.deleted_events(changelog.latest(B.change_log(spark, sf_dir), "id", include_deletes=True))
+    return longs(out.select(_LOG_COLUMNS), "_kafka_partition")
+
+
+@query(
+    f"""WITH {B.RESOLVED}, {B.VERSIONS}, first_ AS (SELECT customer_id, min(valid_from) AS earliest_version FROM versions GROUP BY 1)
+SELECT order_id, earliest_version FROM rated r LEFT JOIN first_ USING (customer_id)
+WHERE NOT EXISTS (SELECT 1 FROM versions v WHERE v.customer_id = r.customer_id AND placed_at_utc >= valid_from AND (valid_to IS NULL OR placed_at_utc < valid_to))"""
+)
+def dq_unresolved_version(spark, sf_dir):
+    """Orders whose resolved instant lies before their customer's first version."""
+    v = B.versions(spark, sf_dir).withColumn("customer_id", F.col("customer_id").cast("string")).withColumn("customer_key", S.surrogate_key(F.col("customer_id"), F.col("valid_from")))
+    keyed = joins.asof_join(_resolved(spark, sf_dir), v, "customer_id", "placed_at_utc", columns=["customer_key"])
+    return quality.unresolved_customer_version(keyed, v).select(F.col("order_id").cast("long"), B.ntz("earliest_version"))
+
+
+@query(
+    f"""WITH {B.RESOLVED}, {B.PAYMENTS}, {B.VERSIONS}
+SELECT 'legacy_status_spelling' AS pattern, count(*) FILTER (o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_orderkey % 2 = 0)) AS n FROM orders
+UNION ALL SELECT 'soft_deleted_customer', count(*) FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'soft_deleted_customer_with_orders', count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 0
+UNION ALL SELECT 'naive_local_time', count(*) FROM timed WHERE naive
+UNION ALL SELECT 'refund_later_than_7_days', count(*) FROM paid WHERE refund_lag_days > 7
+UNION ALL SELECT 'refund_later_than_14_days', count(*) FROM paid WHERE refund_lag_days > 14
+UNION ALL SELECT 'non_usd_order', count(*) FROM timed WHERE currency_code <> 'USD'
+UNION ALL SELECT 'pending_payment_without_time', count(*) FROM payments WHERE payment_status = 'pending'
+UNION ALL SELECT 'plan_change', count(*) FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'relocation', count(*) FROM (SELECT customer_id FROM versions GROUP BY 1 HAVING count(DISTINCT version_key % 2) > 1)"""
+)
+def pattern_coverage(spark, sf_dir):
+    """Counts of the ten sorts of mess over the bound tables; accounts below zero stand for deleted customers."""
+    from lodestream.plans import staging
+
+    raw_rows = B.raw_orders(spark, sf_dir)
+    people = B.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), (F.col("c_acctbal") < 0).alias("is_deleted"))
+    moves = B.versions(spark, sf_dir).select(F.col("customer_id").alias("id"), (F.col("version_key") % 2).alias("country_code"))
+    return quality.pattern_coverage(raw_rows, moves, staging.orders(raw_rows), people, B.refunds(spark, sf_dir), _paid(spark, sf_dir), B.lifecycle(spark, sf_dir))
+
+
 @query("SELECT o_orderkey AS order_id FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'N')")
 def dq_completed_without_payment(spark, sf_dir):
     orders = B.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.when(F.col("o_orderstatus") != "P", "completed").alias("order_status"))

@@ -271,3 +271,75 @@ def test_ranges():
     for bad in ((date(2025, 7, 1), today), (date(2010, 1, 1), today)):
         with pytest.raises(ValueError):
             serving.date_range(*bad, today)
+
+
+def test_reconciliations(spark):
+    days = spark.range(181).select(F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("date_day"), F.lit(3000.0).alias("mrr_cents"))
+    pay = lambda cents: spark.createDataFrame([(date(2025, m, 3), True, cents) for m in range(1, 7)], "order_date date, is_successful boolean, gross_amount_usd_cents long")
+    assert quality.mrr_against_billed(days, pay(3030), "2025-07-01").count() == 0
+    assert one(quality.mrr_against_billed(days, pay(4000), "2025-07-01").select("mrr_cents", "billed_cents")) == [(18000.0, 24000.0)]
+    other = days.withColumn("mrr_cents", F.col("mrr_cents") * 1.01)
+    assert quality.mrr_against_state(days, days, "2025-06-30").count() == 0 and quality.mrr_against_state(days, other, "2025-06-30").count() == 1
+    jumped = days.withColumn("mrr_cents", F.when(F.col("date_day") == "2025-03-01", -1.0).when(F.col("date_day") < "2025-02-01", 200_000.0).otherwise(150_000.0 * 0.5))
+    assert sorted(one(quality.absurd_mrr(jumped).select("reason"))) == [("jump",), ("negative",)]
+
+
+def test_state_path_agrees_with_the_event_path(spark):
+    """MRR of a subscription that only ever runs is the same by both paths."""
+    events = spark.createDataFrame([(1, "s", "created", 2, datetime(2025, 1, 1), AT)], EVENTS)
+    about = spark.createDataFrame([("s", "c", 2, "active", datetime(2025, 1, 1), datetime(2025, 1, 5), None)], "subscription_id string, customer_id string, plan_id int, subscription_status string, started_at timestamp, trial_ends_at timestamp, ended_at timestamp")
+    plans = marts.dim_plan(spark.createDataFrame([(2, "basic", 1900, "USD", True, 1)], "plan_id int, plan_code string, monthly_cents long, currency_code string, is_active boolean, price_rank int"))
+    daily = marts.fct_mrr_daily(intermediate.plan_periods(events, about), plans, "2025-03-10")
+    assert quality.mrr_against_state(daily, marts.mrr_from_state(about, plans, "2025-03-10"), "2025-03-10").count() == 0
+
+
+def test_calendar_and_holidays(spark):
+    named = spark.createDataFrame([(date(2025, 1, 1), "New Year", "GLOBAL", True), (date(2025, 7, 4), "Fourth", "US", True)], raw.HOLIDAYS)
+    got = {r["date_day"]: r for r in marts.dim_date(spark, "2025-01-15", named, "2025-01-01", "2026-01-01").collect()}
+    assert len(got) == 365 and got[date(2025, 1, 1)]["holiday_name"] == "New Year" and not got[date(2025, 7, 4)]["is_holiday"]
+    assert got[date(2025, 1, 15)]["is_past"] and not got[date(2025, 1, 16)]["is_past"] and got[date(2025, 1, 5)]["day_of_week"] == 0 and got[date(2025, 1, 1)]["fiscal_year"] == 2024
+
+
+def test_observations_and_freshness(spark):
+    spark.sql("drop table if exists quality_observations")
+    quality.observe(spark, "quality_observations", [("drift", "orders", 0.1, None), ("drift", "payments", 0.3, None)], datetime(2025, 3, 1))
+    quality.observe(spark, "quality_observations", [("drift", "orders", 0.5, None)], datetime(2025, 1, 1))
+    assert one(serving.quality_series(spark.table("quality_observations"), "2025-03-02").select("metric", F.round("value", 3))) == [("drift", 0.2)]
+    spark.sql("drop table quality_observations")
+    row = serving.data_freshness(spark.createDataFrame([(datetime(2025, 3, 1),)], "_ingested_at timestamp"), "2025-03-02 03:00:00").first()
+    assert row["age_hours"] == 27 and row["is_stale"]
+    kinds = {r["table"]: r["status"] for r in quality.freshness({"plans": spark.createDataFrame([(AT,)], "_ingested_at timestamp"), "none": spark.createDataFrame([], "_ingested_at timestamp")}, "2025-06-01").collect()}
+    assert kinds == {"plans": "exempt", "none": "error"}
+    assert one(quality.pass_rate(spark.createDataFrame([(0,), (2,), (0,), (0,)], "failing_rows long"))) == [(4, 3, 0.75)]
+
+
+def test_cohorts_leave_out_what_cannot_be_seen(spark):
+    people = spark.createDataFrame([("a", datetime(2025, 1, 10)), ("b", datetime(2025, 1, 20)), ("c", datetime(2025, 3, 1))], "customer_id string, created_at timestamp")
+    periods = spark.createDataFrame([("a", datetime(2025, 1, 10), None, True), ("b", datetime(2025, 1, 20), datetime(2025, 2, 1), True), ("c", datetime(2025, 3, 1), None, False)], "customer_id string, revenue_from timestamp, valid_to timestamp, can_earn_revenue boolean")
+    out = marts.fct_cohort_retention(people, periods, "2025-03-15")
+    got = {(str(r["cohort_month"]), r["period_number"]): r["retention_pct"] for r in out.collect()}
+    assert got == {("2025-01-01", 0): 100.0, ("2025-01-01", 1): 50.0, ("2025-01-01", 2): 50.0}
+    cells, young = serving.cohorts(out, date(2025, 1, 1), date(2025, 12, 1), 6)
+    assert cells.count() == 3 and one(young) == [(date(2025, 1, 1), 2)]
+
+
+def test_bulk_rows_rank_below_changes_and_number_without_gaps(spark):
+    rows = spark.range(57).select(F.col("id").cast("string").alias("id"))
+    tagged = raw.bulk_snapshot(rows, "id", AT, parts=5)
+    assert sorted(r["_kafka_offset"] for r in tagged.collect()) == list(range(57))
+    assert one(raw.snapshot_manifest({"t": rows}, AT)) == [("t", 57, AT)]
+    newer = tagged.limit(1).withColumn("_op", F.lit("u")).withColumn("_lsn", F.lit(1).cast("long")).withColumn("_kafka_offset", F.lit(0).cast("long"))
+    assert changelog.latest(tagged.unionByName(newer), "id").filter("_op = 'u'").count() == 1
+
+
+def test_deliveries_in_flight_are_dropped(spark, tmp_path):
+    from lodestream.streaming.ingest import Progress, dedupe_in_flight, files
+
+    rows = [("{}", "t", 0, k % 3, AT) for k in range(9)]
+    spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp timestamp").write.json(str(tmp_path / "in"))
+    seen = Progress()
+    spark.streams.addListener(seen)
+    out = dedupe_in_flight(files(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("flight").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    out.awaitTermination()
+    spark.streams.removeListener(seen)
+    assert spark.table("flight").count() == 3
