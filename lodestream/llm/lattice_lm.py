@@ -42,15 +42,12 @@ class Pieces:
         n = model.get_piece_size()
         self.bytes = np.full(256, -1, dtype=np.int64)
         by_length: dict[int, list[tuple[int, int]]] = {}
-        self.single: set[str] = set()
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(piece[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 by_length.setdefault(len(piece), []).append((int(self._prefix(np.array([[ord(c) for c in piece]]))[0, -1]), i))
-                if len(piece) == 1:
-                    self.single.add(piece)
         if (self.bytes < 0).any():
             raise ValueError("the vocabulary has no piece for some byte")
         #: The end of a text is one more piece.
@@ -83,8 +80,8 @@ class Pieces:
                 out.append(out[-1] * _BASE)
         return np.array(out, dtype=np.uint64)
 
-    def lattice(self, words: list[str]) -> Iterator[tuple[np.ndarray, int, Iterator]]:
-        """For words grouped by length: (their numbers, length, edges), edges as (from, to, rows, piece ids or byte runs)."""
+    def groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, int]]:
+        """(numbers of words, their length with the mark of beginning): words of one length, in parts of bounded size."""
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         order = np.argsort(lengths, kind="stable")
         cuts = np.flatnonzero(np.diff(lengths[order], prepend=-1, append=-1))
@@ -133,7 +130,7 @@ class Pieces:
     def score(self, words: list[str], score: np.ndarray) -> np.ndarray:
         """Natural log of each word's probability over all its segmentations."""
         out = np.zeros(len(words))
-        for own, size in self.lattice(words):
+        for own, size in self.groups(words):
             part = [words[k] for k in own]
             alpha, _ = self._forward(self.edges(part, size), len(part), size, score)
             out[own] = alpha[size]
@@ -142,7 +139,7 @@ class Pieces:
     def expect(self, words: list[str], counts: np.ndarray, score: np.ndarray) -> np.ndarray:
         """Expected count of each piece in the words, under ``score``."""
         total = np.zeros(self.size)
-        for own, size in self.lattice(words):
+        for own, size in self.groups(words):
             part = [words[k] for k in own]
             edges = self.edges(part, size)
             alpha, weights = self._forward(edges, len(part), size, score)

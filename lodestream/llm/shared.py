@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,10 +52,6 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
-def id_remainder_of(value: int | None, divisor: int) -> int | None:
-    return None if value is None else zlib.crc32(str(value).encode()) % divisor
-
-
 def texts_in(batch: pa.RecordBatch, column: str = "text", mb: float = 4.0) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) for slices of about ``mb`` MB each, nulls as empty texts; one long text is a slice of its own."""
     values = batch.column(batch.schema.get_field_index(column))
