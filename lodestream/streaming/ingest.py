@@ -64,9 +64,14 @@ def ingest(source: DataFrame, table: str, payload: T.StructType, registry: Regis
         raise RuntimeError(f"{table} is halted; resume it first")
 
     def flush(batch: DataFrame, number: int) -> None:
-        rows = handle(batch, table, payload, registry, root)
-        if rows is not None and touched is not None:
-            rows.select(key).distinct().write.mode("overwrite").parquet(f"{touched}/batch={number}")
+        # Several actions read the batch; kept, it is read from its source once.
+        batch.persist()
+        try:
+            rows = handle(batch, table, payload, registry, root)
+            if rows is not None and touched is not None:
+                rows.select(key).distinct().write.mode("overwrite").parquet(f"{touched}/batch={number}")
+        finally:
+            batch.unpersist()
 
     writer = source.writeStream.queryName(f"ingest_{table}").option("checkpointLocation", checkpoint).foreachBatch(flush)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")).start()
