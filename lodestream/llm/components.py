@@ -103,9 +103,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state, edges = None, written(edges, "links")
     while True:
         both = edges.union(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
-        lowest = both.groupBy("v").agg(F.least(F.col("v"), F.min("m")).alias("low"))
+        # Written, the minima are joined by exchanges of their own, whose hot partitions Spark can split.
+        lowest = written(both.groupBy("v").agg(F.least(F.col("v"), F.min("m")).alias("low")), "links")
         large = both.join(lowest, "v").filter("m > v").select(F.col("m").alias("v"), F.col("low").alias("m")).filter("v <> m").distinct()
-        low = large.groupBy("v").agg(F.min("m").alias("low"))
+        large = written(large, "links")
+        low = written(large.groupBy("v").agg(F.min("m").alias("low")), "links")
         small = large.join(low, "v").select(F.explode(F.array(F.struct("v", F.col("low").alias("m")), F.struct(F.col("m").alias("v"), F.col("low").alias("m")))).alias("e"))
         edges = written(small.select("e.*").filter("v <> m").distinct(), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
