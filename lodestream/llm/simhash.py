@@ -44,11 +44,12 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     width = min(shingle, len(words))
     begins = np.concatenate([[0], ends[:-1] + 1])[: len(words) - width + 1].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begins, ends[width - 1 :].tolist(), strict=True)], dtype="<u8")
-    octets = hashes.view(np.uint8).reshape(-1, 8)
-    set_bits = np.concatenate([np.bincount(octets[:, k], minlength=256) @ _octet_bits() for k in range(8)])
-    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
+    digest, stops, set_bits = xxhash.xxh64_intdigest, ends[width - 1 :].tolist(), np.zeros(64, dtype=np.int64)
+    for k in range(0, len(begins), 1 << 17):
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begins[k : k + (1 << 17)], stops[k : k + (1 << 17)], strict=True)], dtype="<u8")
+        octets = hashes.view(np.uint8).reshape(-1, 8)
+        set_bits += np.concatenate([np.bincount(octets[:, j], minlength=256) @ _octet_bits() for j in range(8)])
+    return int(np.packbits(2 * set_bits > len(begins), bitorder="little").view("<u8")[0])
 
 
 @functools.cache
