@@ -38,9 +38,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, input_ids, n_tokens and whether decoding gives the text back."""
-    path = vocabulary_path()
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
-    return encoded.select("doc_id", "lang", "source", "input_ids", F.size("input_ids").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), proof="exact")
+    return encoded.select("doc_id", "lang", "source", "input_ids", F.size("input_ids").alias("n_tokens"), "exact")
 
 
 STAGES = [

@@ -53,6 +53,7 @@ def test_encode_and_decode_keep_columns(edge):
     both = bpe.decode(bpe.encode(edge, PATH), PATH)
     assert set(edge.columns) < set(both.columns)
     assert both.filter("decoded <> coalesce(text, '')").count() == 0
+    assert bpe.encode(edge, PATH, proof="label").filter("label").count() == edge.count()
 
 
 @pytest.mark.parametrize("chunk, overlap", [(50, 4), (64, 16), (700, 32)])
