@@ -2,8 +2,8 @@
 
 A recording's spectrum is folded into pitch classes frame by frame. Sixteen filters, differences of rectangles over the
 frames by pitch classes, are read off an integral image; each answer becomes two bits of a Gray code, so every window of
-frames gives one packed 32-bit integer. Two recordings are aligned by the histogram of offsets between their equal
-integers, and judged by the share of differing bits over the overlap.
+frames gives one packed 32-bit integer. Two recordings are judged by the share of differing bits over the overlap, at every
+offset: at the share of errors allowed, two recordings may have no equal integer to look up.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from lodestream.llm.shared import written
 
 CLASSES, SPAN = 12, 16
+#: Numbers of one array while recordings are aligned.
+TILE = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -37,7 +39,7 @@ class Print:
     #: Largest share of differing bits, and least overlap as a share of the shorter recording.
     most_errors: float = 0.25
     least_overlap: float = 0.5
-    #: Queries that go to the tasks at once.
+    #: Different queries that go to the tasks at once.
     block: int = 2000
 
 
@@ -110,67 +112,98 @@ def fingerprints(recordings: DataFrame, p: Print = Print(), key: str = "id", pcm
     return recordings.select(key, pcm).mapInArrow(run, schema)
 
 
-class Index:
-    """The prints of a block of queries, sorted for look-up."""
-
-    def __init__(self, ids: list[int], prints: list[np.ndarray]):
-        self.ids, self.prints = np.array(ids, dtype=np.int64), prints
-        flat = np.concatenate([np.zeros(0, np.int32), *prints])
-        owner = np.repeat(np.arange(len(prints)), [len(x) for x in prints])
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in prints)])
-        order = np.argsort(flat, kind="stable")
-        self.flat, self.owner, self.place = flat[order], owner[order], place[order]
-
-    def best(self, own: int | None, prints: np.ndarray, p: Print) -> tuple[float, int, int] | None:
-        """(share of differing bits, query id, offset) of the query that fits best; an equal share falls to the smaller id."""
-        low, high = np.searchsorted(self.flat, prints, "left"), np.searchsorted(self.flat, prints, "right")
-        n = high - low
-        if not n.sum():
-            return None
-        hit = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        offset = np.repeat(np.arange(len(prints)), n) - self.place[hit]
-        # The histogram of offsets of each query: its highest bar, of equal ones the nearest to zero.
-        votes, count = np.unique(self.owner[hit] << 32 | (offset + (1 << 31)), return_counts=True)
-        query, offset = votes >> 32, (votes & 0xFFFFFFFF) - (1 << 31)
-        order = np.lexsort((offset, np.abs(offset), -count, query))
-        first = np.flatnonzero(np.diff(query[order], prepend=-1))
-        found = []
-        for k in order[first]:
-            theirs, shift = self.prints[query[k]], int(offset[k])
-            a, b = prints[max(0, shift) :], theirs[max(0, -shift) :]
-            both = min(len(a), len(b))
-            if self.ids[query[k]] == own or both < p.least_overlap * min(len(prints), len(theirs)):
-                continue
-            errors = int(np.bitwise_count(a[:both].view(np.uint32) ^ b[:both].view(np.uint32)).sum()) / (32 * both)
-            if errors <= p.most_errors:
-                found.append((errors, int(self.ids[query[k]]), shift))
-        return min(found, default=None)
+def _spectra(prints: list[np.ndarray], n: int, kind: type) -> np.ndarray:
+    """(frequencies, recordings, 32): spectra of each bit as a signal of ones and minus ones, zeros after its end."""
+    signal = np.zeros((len(prints), 32, n), dtype=kind)
+    for k, x in enumerate(prints):
+        bits = np.unpackbits(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), 4), axis=1)
+        signal[k, :, : len(x)] = bits.T.astype(np.int8) * 2 - 1
+    return np.ascontiguousarray(np.fft.rfft(signal, axis=2).transpose(2, 0, 1))
+
+
+def alignments(rows: list[np.ndarray], queries: list[np.ndarray], p: Print) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, query, share of differing bits, offset) of every pair that fits, by number, at its best offset.
+
+    All offsets of all pairs are judged: the sum over the bits of their cross-correlations, taken by way of the spectra,
+    is the count of equal bits less that of differing ones. Of equal shares the offset nearest to zero counts. No recording may be empty.
+    """
+    out = [[np.zeros(0, np.int64)] * 2 + [np.zeros(0)] + [np.zeros(0, np.int64)]]
+    by_row, by_query = (sorted(range(len(x)), key=lambda k: len(x[k])) for x in (rows, queries))
+    longest = max(map(len, rows), default=1) + max(map(len, queries), default=1)
+    at_once = max(1, min(256, TILE // (64 * longest)))
+    for i in range(0, len(by_row), at_once):
+        own = by_row[i : i + at_once]
+        left = {}
+        for j in range(0, len(by_query), at_once):
+            theirs = by_query[j : j + at_once]
+            mine, other = np.array([len(rows[k]) for k in own]), np.array([len(queries[k]) for k in theirs])
+            n = 1 << int(mine.max() + other.max() - 1).bit_length()
+            # Sums stay so small that rounding gives the exact integers.
+            kind = np.float32 if n <= 1 << 14 else np.float64
+            if n not in left:
+                left = {n: _spectra([rows[k] for k in own], n, kind)}
+            right = _spectra([queries[k] for k in theirs], n, kind).conj().transpose(0, 2, 1)
+            step = max(1, TILE // (len(theirs) * n))
+            shift = np.arange(n)
+            shift[shift >= mine.max()] -= n
+            late = other[:, None] - np.maximum(0, -shift)
+            for k in range(0, len(own), step):
+                part = mine[k : k + step]
+                agree = np.fft.irfft((left[n][:, k : k + step] @ right).transpose(1, 2, 0), n, axis=2)
+                both = np.minimum((part[:, None] - np.maximum(0, shift))[:, None], late[None]).astype(kind)
+                least = np.maximum(1, p.least_overlap * np.minimum(part[:, None], other[None]))[:, :, None]
+                hit = np.flatnonzero((agree >= both * kind(32 * (1 - 2 * p.most_errors)) - kind(0.5)) & (both >= least))
+                if not len(hit):
+                    continue
+                at, offset = hit // n, shift[hit % n]
+                overlap = 32 * both.ravel()[hit].astype(np.int64)
+                share = (overlap - np.rint(agree.ravel()[hit]).astype(np.int64)) // 2 / overlap
+                fits = share <= p.most_errors
+                at, offset, share = at[fits], offset[fits], share[fits]
+                order = np.lexsort((offset, np.abs(offset), share, at))
+                best = order[np.flatnonzero(np.diff(at[order], prepend=-1))]
+                r, q = np.array(own)[k + at[best] // len(theirs)], np.array(theirs)[at[best] % len(theirs)]
+                out.append([r, q, share[best], offset[best]])
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 100) -> DataFrame:
     """(key, n_prints, prints_sha256, match_id, match_offset, bit_errors) of each recording.
 
     Queries are the rows whose key is divisible by ``every``; all rows are searched for them, in blocks of ``p.block``
-    queries. A row gets the other query that fits it best: match_offset says by how many prints the row starts earlier, and
-    the three columns are null where no query fits. A row without prints or with a null key is no query; a row without
-    prints matches nothing. Repeated rows give repeated results; an empty table gives an empty one.
+    different recordings. A row gets the other query that fits it best: match_offset says by how many prints the row starts
+    earlier, and the three columns are null where no query fits. A row without prints or with a null key is no query; a
+    row without prints matches nothing. Repeated rows give repeated results; an empty table gives an empty one.
     """
-    numbered = written(prints.select(F.col(key).alias("_id"), "prints").withColumn("_row", F.monotonically_increasing_id()), "audio-prints")
-    queries = numbered.filter((F.col("_id") % every == 0) & (F.size("prints") > 0)).select("_id", "prints").dropDuplicates(["_id"]).orderBy("_id")
+    numbered = prints.select(F.col(key).alias("_id"), "prints").withColumn("_row", F.monotonically_increasing_id())
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [hashlib.sha256(x.values.to_numpy().astype("<i4").tobytes()).hexdigest() for x in batch.column("prints")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], names=[*batch.schema.names, "prints_sha256"])
+
+    numbered = written(numbered.mapInArrow(digest, T.StructType([*numbered.schema, T.StructField("prints_sha256", T.StringType())])), "audio-prints")
+    asked = numbered.filter((F.col("_id") % every == 0) & (F.size("prints") > 0)).select("_id", "prints", "prints_sha256")
+    # The smallest id of each different recording, and the next one for the row that has the smallest.
+    first = asked.groupBy("prints_sha256").agg(F.min("_id").alias("_first"), F.min("prints").alias("prints"))
+    second = asked.join(first.select("prints_sha256", "_first"), "prints_sha256").filter("_id > _first").groupBy("prints_sha256").agg(F.min("_id").alias("_second"))
+    queries = first.join(second, "prints_sha256", "left").select("_first", "_second", "prints").orderBy("_first", "prints")
     fit = T.StructType.fromDDL("_row long, bit_errors double, match_id long, match_offset int")
 
     def search(block: list) -> DataFrame:
-        sent = prints.sparkSession.sparkContext.broadcast(([r["_id"] for r in block], [np.array(r["prints"], dtype=np.int32) for r in block]))
+        sent = prints.sparkSession.sparkContext.broadcast(([(r["_first"], r["_second"]) for r in block], [np.array(r["prints"], dtype=np.int32) for r in block]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(*sent.value)
+            ids, theirs = sent.value
             for batch in batches:
-                rows = []
-                for row, own, mine in zip(*(batch.column(c) for c in ("_row", "_id", "prints")), strict=True):
-                    if len(mine) and (best := index.best(own.as_py(), mine.values.to_numpy(), p)):
-                        rows.append((row.as_py(), *best))
-                cols = list(zip(*rows, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32())], names=fit.names)
+                own, mine = batch.column("_id").to_pylist(), [x.values.to_numpy() for x in batch.column("prints")]
+                full = [k for k, x in enumerate(mine) if len(x)]
+                row, query, share, offset = alignments([mine[k] for k in full], theirs, p)
+                row = np.array(full, dtype=np.int64)[row]
+                other = [ids[q][own[r] == ids[q][0]] for r, q in zip(row.tolist(), query.tolist(), strict=True)]
+                cols = [batch.column("_row").take(pa.array(row)), pa.array(share), pa.array(other, pa.int64()), pa.array(offset, pa.int32())]
+                found = pa.RecordBatch.from_arrays(cols, names=fit.names)
+                yield found.filter(found.column("match_id").is_valid())
 
         return numbered.select("_row", "_id", "prints").mapInArrow(run, fit)
 
@@ -184,16 +217,8 @@ def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 1
         part = search(block)
         found = part if found is None else found.union(part)
     best = found.groupBy("_row").agg(F.min(F.struct("bit_errors", "match_id", "match_offset")).alias("m"))
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [hashlib.sha256(x.values.to_numpy().astype("<i4").tobytes()).hexdigest() for x in batch.column("prints")]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(sums)], names=["_row", "prints_sha256"])
-
-    sums = numbered.select("_row", "prints").mapInArrow(digest, "_row long, prints_sha256 string")
     return (
-        numbered.select("_row", F.col("_id").alias(key), F.size("prints").cast("long").alias("n_prints"))
-        .join(sums, "_row")
+        numbered.select("_row", F.col("_id").alias(key), F.size("prints").cast("long").alias("n_prints"), "prints_sha256")
         .join(best, "_row", "left")
         .select(key, "n_prints", "prints_sha256", "m.match_id", "m.match_offset", "m.bit_errors")
     )

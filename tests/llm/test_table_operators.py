@@ -211,6 +211,30 @@ def test_recordings_align(spark):
     assert audio.align(audio.fingerprints(df.limit(0))).count() == 0
 
 
+def test_alignments_equal_brute_force():
+    rng = np.random.default_rng(6)
+    p = audio.Print()
+    queries = [rng.integers(0, 1 << 32, n, dtype=np.uint32) for n in (40, 90, 200, 12)]
+    rows = [rng.integers(0, 1 << 32, n, dtype=np.uint32) for n in (1, 60, 300)] + [np.zeros(30, np.uint32)]
+    for q in queries:  # copies at an offset whose every print differs in six bits, so that none can be looked up
+        flips = np.array([sum(1 << int(b) for b in rng.choice(32, 6, replace=False)) for _ in range(len(q) + 5)], np.uint32)
+        rows += [(np.concatenate([rng.integers(0, 1 << 32, 5, dtype=np.uint32), q]) ^ flips), (q ^ flips[5:])[len(q) // 3 :]]
+    queries.append(np.tile(queries[0][:20], 4))
+    rows.append(queries[0][:20])
+    want = {}
+    for i, r in enumerate(rows):
+        for j, q in enumerate(queries):
+            for s in range(1 - len(q), len(r)):
+                a, b = r[max(0, s) :], q[max(0, -s) :]
+                both = min(len(a), len(b))
+                share = int(np.bitwise_count(a[:both] ^ b[:both]).sum()) / (32 * both)
+                if both >= p.least_overlap * min(len(r), len(q)) and share <= p.most_errors:
+                    want[i, j] = min(want.get((i, j), (2, 0, 0)), (share, abs(s), s))
+    got = audio.alignments([x.view(np.int32) for x in rows], [x.view(np.int32) for x in queries], p)
+    assert {(r, q): (e, abs(s), s) for r, q, e, s in zip(*(x.tolist() for x in got), strict=True)} == want and len(want) >= 9
+    assert all((4 + 2 * k + c, k) in want for k in range(4) for c in range(2))
+
+
 def test_integral_image_equals_sums():
     image = np.random.default_rng(2).random((40, audio.CLASSES))
     p = audio.Print()
