@@ -168,11 +168,13 @@ def alignments(rows: list[np.ndarray], queries: list[np.ndarray], p: Print) -> t
 
 
 def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 100) -> DataFrame:
-    """(key, n_prints, prints_sha256, match_id, match_offset, bit_errors) of each recording.
+    """(key, n_prints, prints_sha256, match_id, match_offset, bit_errors, matches) of each recording.
 
     Queries are the rows whose key is divisible by ``every``; all rows are searched for them, in blocks of ``p.block``
-    different recordings. A row gets the other query that fits it best: match_offset says by how many prints the row starts
-    earlier, and the three columns are null where no query fits. A row without prints or with a null key is no query; a
+    different recordings. ``matches`` lists every other query that fits the row as (bit_errors, match_id, match_offset), the
+    best one first: match_offset says by how many prints the row starts earlier. Queries with equal prints are one entry,
+    under the smallest id that is not the row's own; they share prints_sha256. The three columns before repeat the first
+    entry; they are null, and the list is empty, where no query fits. A row without prints or with a null key is no query; a
     row without prints matches nothing. Repeated rows give repeated results; an empty table gives an empty one.
     """
     numbered = prints.select(F.col(key).alias("_id"), "prints").withColumn("_row", F.monotonically_increasing_id())
@@ -216,11 +218,12 @@ def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 1
     if block or found is None:
         part = search(block)
         found = part if found is None else found.union(part)
-    best = found.groupBy("_row").agg(F.min(F.struct("bit_errors", "match_id", "match_offset")).alias("m"))
+    matches = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("bit_errors", "match_id", "match_offset"))).alias("m"))
+    best = F.get("m", F.lit(0))
     return (
         numbered.select("_row", F.col("_id").alias(key), F.size("prints").cast("long").alias("n_prints"), "prints_sha256")
-        .join(best, "_row", "left")
-        .select(key, "n_prints", "prints_sha256", "m.match_id", "m.match_offset", "m.bit_errors")
+        .join(matches, "_row", "left")
+        .select(key, "n_prints", "prints_sha256", best["match_id"].alias("match_id"), best["match_offset"].alias("match_offset"), best["bit_errors"].alias("bit_errors"), F.coalesce("m", F.array().cast(matches.schema["m"].dataType)).alias("matches"))
     )
 
 

@@ -211,6 +211,25 @@ def test_recordings_align(spark):
     assert audio.align(audio.fingerprints(df.limit(0))).count() == 0
 
 
+def test_every_matching_query_is_listed(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 24, 60), rng.integers(0, 24, 60)
+    near = tune(a) + rng.normal(0, 300, 60 * 512).astype("<i2")
+    rows = [(1, tune(a[2:])), (100, tune(a)), (200, near), (300, tune(a)), (400, tune(b)), (400, tune(a[4:]))]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in rows], "id long, pcm binary")
+    out = audio.align(audio.fingerprints(df)).collect()
+    listed = {(r["id"], r["n_prints"]): [m["match_id"] for m in r["matches"]] for r in out}
+    n = {i: [r["n_prints"] for r in out if r["id"] == i] for i in (1, 100, 200, 300)}
+    # 100 and 300 are equal recordings: one entry, under the smaller id that is not the row's own.
+    assert sorted(listed[1, *n[1]]) == [100, 200, 400] and sorted(listed[200, *n[200]]) == [100, 400]
+    assert sorted(listed[100, *n[100]]) == [200, 300, 400] and sorted(listed[300, *n[300]]) == [100, 200, 400]
+    assert len({r["prints_sha256"] for r in out if r["id"] in (100, 300)}) == 1
+    for r in out:
+        best = r["matches"][0] if r["matches"] else (None, None, None)
+        assert (r["bit_errors"], r["match_id"], r["match_offset"]) == tuple(best)
+        assert r["matches"] == sorted(r["matches"])
+
+
 def test_alignments_equal_brute_force():
     rng = np.random.default_rng(6)
     p = audio.Print()
