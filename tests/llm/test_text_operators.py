@@ -139,6 +139,28 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out)
 
 
+def test_toxicity_sample_skips_what_does_not_fit(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    order = [r["i"] for r in spark.createDataFrame([(i,) for i in ids], "i long").orderBy(F.xxhash64(F.lit(toxicity.Fit().seed), "i")).collect()]
+    late = set(order[-3:])
+    # The first row by hash is longer than the whole budget; toxic rows come last of all.
+    rows = [(i, "x" * (5000 if i == order[0] else 20) + str(i), int(i in late)) for i in order]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").coalesce(1)
+    got = toxicity.labelled_sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), toxicity.Fit(chars=1000))
+    assert len(got) > 30 and {y for _, y in got} == {0, 1} and sum(len(t) for t, _ in got) <= 1000
+    early = [t for i, t, y in rows[1:] if not y]
+    assert [t for t, y in got if not y] == early[: len(got) - 1]
+    assert len(toxicity.labelled_sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), toxicity.Fit(rows=10))) == 10
+
+
+def test_toxicity_is_fitted_on_all_rows_at_every_size(monkeypatch):
+    sizes = []
+    train = toxicity._train
+    monkeypatch.setattr(toxicity, "_train", lambda words, flat, begins, toxic, fit: sizes.append(len(toxic)) or train(words, flat, begins, toxic, fit))
+    toxicity.train([(f"bad grubel {i}" if i % 4 == 0 else f"fine day {i}", int(i % 4 == 0)) for i in range(2200)], toxicity.Fit(epochs=1))
+    assert sizes == [1650] * 4 + [2200]
+
+
 def test_toxicity_edges(edge):
     model = toxicity.train([("bad grubel", 1), ("fine day", 0), ("good day", 0)])
     out = toxicity.score(edge, model)
