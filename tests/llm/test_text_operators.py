@@ -122,6 +122,30 @@ def test_network_learns_secrets_without_their_labels():
     assert secret_scan.train(np.zeros((0, secret_scan.WINDOW), np.uint8), np.array(plain), np.array(plain)).threshold > 1
 
 
+def test_whole_candidates_are_judged(monkeypatch):
+    key = "Zq9" * 7
+    shown = []
+
+    def probability(net, x):
+        shown.extend(x)
+        marked = secret_scan._classes(key)
+        return np.array([float(bytes(marked) in bytes(row[secret_scan.BEFORE : secret_scan.BEFORE + secret_scan.INSIDE])) for row in x])
+
+    monkeypatch.setattr(secret_scan.Network, "probability", probability)
+    net = secret_scan.Network.blank(1)
+    net.threshold = 0.5
+    for ahead in (0, 16, 39, 40, 45, 100, 333):
+        text = f"see {'a/' * ahead}{key}{'/b' * 30} ok"
+        base, spans = secret_scan.all_spans([text], net)[0]
+        assert not base and spans == [(4, 3, len(text) - 3)]
+    # What a finding leaves of a run is a candidate of its own, on both sides.
+    hex_ = "0123456789abcdef" * 2
+    text = f"see {key}/{hex_}/{key} and {hex_}.{key}.{hex_}"
+    base, spans = secret_scan.all_spans([text], net)[0]
+    assert [text[s:e] for s, k, e in spans if k == 3] == [f"{key}/", f"/{key}", f".{key}."]
+    assert [x for x in spans if x[1] != 3] == base and len(base) == 3
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(rng.randint(1, 4)))
