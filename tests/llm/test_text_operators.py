@@ -146,6 +146,28 @@ def test_whole_candidates_are_judged(monkeypatch):
     assert [x for x in spans if x[1] != 3] == base and len(base) == 3
 
 
+def test_frequent_secrets_that_no_rule_knows_are_found(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghilmnorstu") for _ in range(n))
+    value = lambda n: "".join(rng.choice("0123456789ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz") for _ in range(n))
+    rows = []
+    for i in range(900):
+        kind = f'token = "{value(36)}"' if i % 3 == 0 else f"xk-{value(36)}"
+        rows.append((i, f"{word(7)} {word(12)} {kind} {word(5)} {word(11)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    net = secret_scan.fitted(docs)
+    found = [r["n_learned"] for r in secret_scan.scan(docs, net).collect() if r["doc_id"] % 3]
+    assert sum(n > 0 for n in found) / len(found) > 0.9
+
+
+def test_recall_alone_sets_the_threshold(monkeypatch):
+    rng = np.random.default_rng(0)
+    found, plain = rng.integers(2, 96, (300, secret_scan.WINDOW), dtype=np.uint8), rng.integers(2, 96, (300, secret_scan.WINDOW), dtype=np.uint8)
+    monkeypatch.setattr(secret_scan.Network, "probability", lambda net, x: np.linspace(0.2, 0.8, len(x)))
+    net = secret_scan.train(found, plain[:0], plain, secret_scan.Fit(epochs=0))
+    assert 0.2 <= net.threshold < 0.23
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(rng.randint(1, 4)))
