@@ -6,7 +6,7 @@ META columns. Rows are never removed from it; a delete is one more row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +42,13 @@ def latest(df: DataFrame, key: str | list[str], include_deletes: bool = False) -
 
 
 def dedupe_by_offset(df: DataFrame, delivery: list[str]) -> DataFrame:
-    """One row for each (partition, offset): the last one delivered by the order of the ``delivery`` columns."""
-    w = Window.partitionBy("_kafka_partition", "_kafka_offset").orderBy(*(F.col(c).desc() for c in delivery))
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """One row for each (partition, offset): the last one delivered by the order of the ``delivery`` columns, nulls first.
+
+    An aggregate, so repeated deliveries of one offset are reduced before the shuffle.
+    """
+    rows = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    best = df.groupBy("_kafka_partition", "_kafka_offset").agg(F.max_by(rows, F.struct(*delivery)).alias("_row"))
+    return best.select("_row.*")
 
 
 def union_by_offset(prior: DataFrame, incoming: DataFrame, delivery: list[str] | None = None) -> DataFrame:
@@ -53,54 +57,67 @@ def union_by_offset(prior: DataFrame, incoming: DataFrame, delivery: list[str] |
     return dedupe_by_offset(both, ["_incoming", *(delivery or [])]).drop("_incoming")
 
 
-def envelope(payload: T.StructType) -> T.StructType:
-    """The schema of a change event over rows of ``payload``."""
-    source = T.StructType.fromDDL("table string, lsn long, ts_ms long, db string")
-    return T.StructType(
-        [
-            T.StructField("op", T.StringType()),
-            T.StructField("before", payload),
-            T.StructField("after", payload),
-            T.StructField("source", source),
-            T.StructField("ts_ms", T.LongType()),
-        ]
+def at(path: str) -> str:
+    """The path of one field of a JSON object, whatever characters its name has."""
+    quote = '"' if "'" in path else "'"
+    return f"$[{quote}{path}{quote}]"
+
+
+def _parsed(events: DataFrame, value: str) -> DataFrame:
+    """``events`` with ``_json``, the parsed value; null for a null and for text that is not JSON or repeats a key."""
+    # A generated column: filters on it do not slip below, which would parse each text twice.
+    return events.withColumn("_json", F.explode(F.array(F.try_parse_json(value))))
+
+
+def parse_events(events: DataFrame, value: str = "value", topic: str = "topic") -> DataFrame:
+    """Change events with ``_row`` (the JSON object of the row), META, ``_table`` and the broker's other columns but ``value``.
+
+    Events are wrapped in ``payload`` or bare. A delete carries the row before, all others the row after; where that is
+    missing, the other one. The table is the source's, or the last part of the topic. ``_ingested_at`` is the broker's
+    ``timestamp``, never the clock. Tombstones (null values), events without an operation and text that is not a JSON object
+    are left out; see :func:`unparseable`. Each text is parsed once.
+    """
+    wrapped = F.try_variant_get("_json", "$.payload", "variant")
+    event = F.when(F.try_variant_get("_json", "$.payload.op", "string").isNotNull(), wrapped).otherwise(F.col("_json"))
+    get = lambda path, kind: F.try_variant_get("_event", path, kind)
+    before, after = get("$.before", "variant"), get("$.after", "variant")
+    present = lambda c: F.when(~F.is_variant_null(c), c)
+    first, second = present(after), present(before)
+    parsed = _parsed(events, value).withColumn("_event", F.explode(F.array(event))).withColumn("_op", get("$.op", "string")).filter("_op is not null")
+    kept = [c for c in events.columns if c not in (value, topic, "partition", "offset", "timestamp")]
+    return parsed.select(
+        F.when(F.col("_op") == DELETE, F.coalesce(second, first)).otherwise(F.coalesce(first, second)).alias("_row"),
+        "_op",
+        get("$.source.lsn", "long").alias("_lsn"),
+        F.col("offset").cast("long").alias("_kafka_offset"),
+        F.col("partition").cast("int").alias("_kafka_partition"),
+        F.col("timestamp").cast("timestamp").alias("_ingested_at"),
+        F.timestamp_millis(F.coalesce(get("$.source.ts_ms", "long"), get("$.ts_ms", "long"))).alias("_source_ts"),
+        F.coalesce(get("$.source.table", "string"), F.element_at(F.split(topic, r"\."), -1)).alias("_table"),
+        *kept,
     )
 
 
+def typed(rows: DataFrame, payload: T.StructType) -> DataFrame:
+    """The fields of ``payload``, sorted by name, out of ``_row``, and all other columns; what does not fit its type is null."""
+    names = sorted(payload, key=lambda f: f.name)
+    cast = lambda f: F.try_variant_get("_row", at(f.name), f.dataType.simpleString()).alias(f.name)
+    return rows.select(*map(cast, names), *(c for c in rows.columns if c != "_row"))
+
+
 def parse_changes(events: DataFrame, payload: T.StructType, value: str = "value", topic: str = "topic") -> DataFrame:
-    """Rows of ``payload`` with META and ``_table`` from JSON change events, wrapped in ``payload`` or bare.
+    """Rows of ``payload`` with META and ``_table`` from JSON change events; see :func:`parse_events`.
 
-    A delete carries the row before, all others the row after; where that is missing, the other one, and else nulls. The
-    table is the source's, or the last part of the topic. ``_ingested_at`` is the broker's ``timestamp``, never the clock.
-    Tombstones (null values), events without an operation and text that is not JSON are left out; see :func:`unparseable`.
+    Fields that ``payload`` does not name are left out and values of another type are null: ingest compares the batch's own
+    shape with the registered schema first, see :func:`lodestream.operators.schema_guard.batch_shape`.
     """
-    shape = envelope(payload)
-    parsed = events.withColumn("_wrapped", F.from_json(value, T.StructType([T.StructField("payload", shape)]))["payload"]).withColumn("_bare", F.from_json(value, shape))
-    event = parsed.withColumn("_event", F.when(F.col("_wrapped.op").isNotNull(), F.col("_wrapped")).otherwise(F.col("_bare"))).filter("_event.op is not null")
-    row = F.when(F.col("_event.op") == DELETE, F.coalesce("_event.before", "_event.after")).otherwise(F.coalesce("_event.after", "_event.before"))
-    names = sorted(f.name for f in payload)
-    return (
-        event.withColumn("_row", row)
-        .withColumn("_stamp", F.coalesce("_event.source.ts_ms", "_event.ts_ms"))
-        .select(
-            *(F.col(f"_row.{c}").alias(c) for c in names),
-            F.col("_event.op").alias("_op"),
-            F.col("_event.source.lsn").alias("_lsn"),
-            F.col("offset").cast("long").alias("_kafka_offset"),
-            F.col("partition").cast("int").alias("_kafka_partition"),
-            F.col("timestamp").cast("timestamp").alias("_ingested_at"),
-            F.timestamp_millis("_stamp").alias("_source_ts"),
-            F.coalesce(F.col("_event.source.table"), F.element_at(F.split(topic, r"\."), -1)).alias("_table"),
-        )
-    )
+    return typed(parse_events(events, value, topic), payload)
 
 
 def unparseable(events: DataFrame, value: str = "value") -> DataFrame:
-    """The events that are not JSON objects, with a reason; tombstones are none of them."""
-    known = F.from_json(value, T.StructType.fromDDL("op string, payload struct<op: string>, _broken string"), {"columnNameOfCorruptRecord": "_broken"})
-    out = events.withColumn("_parsed", known)
-    broken = F.col(value).isNotNull() & F.col("_parsed._broken").isNotNull()
-    return out.filter(broken).drop("_parsed").withColumn("reason", F.lit("invalid json"))
+    """The events that are not JSON objects, or repeat a key, with a reason; tombstones are none of them."""
+    whole = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
+    return _parsed(events, value).filter(F.col(value).isNotNull() & ~whole).drop("_json").withColumn("reason", F.lit("invalid json"))
 
 
 def deletion_flags(df: DataFrame, soft: str = "deleted_at") -> DataFrame:

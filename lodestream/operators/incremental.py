@@ -5,7 +5,6 @@ There is no append mode: a lookback selects rows again on purpose, so only an up
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,36 +42,83 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str], del
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    at, fs = _fs(spark, path)
+    return fs.exists(at(path))
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return at, at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def swap(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Write ``df``, which may read ``path``, beside it and put it in its place."""
+    """Write ``df``, which may read ``path``, beside it and put it in its place.
+
+    Between the two renames no table lies at ``path``; :func:`restored` mends a crash there, and :func:`load` calls it first.
+    """
     spark = df.sparkSession
-    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
+    aside, old = (f"{path.rstrip('/')}.{x}" for x in ("new", "old"))
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(aside)
-    path_ = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = path_(f"{aside}.old")
-    if fs.exists(path_(path)) and not fs.rename(path_(path), old):
+    at, fs = _fs(spark, path)
+    fs.delete(at(old), True)
+    if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
         raise OSError(f"{path} was not set aside")
-    if not fs.rename(path_(aside), path_(path)):
+    if not fs.rename(at(aside), at(path)):
         raise OSError(f"{aside} was not put in place")
-    fs.delete(old, True)
+    fs.delete(at(old), True)
     spark.catalog.refreshByPath(path)
 
 
-def load(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame], key: str | list[str], mode: str = "incremental") -> DataFrame:
+def restored(spark: SparkSession, path: str) -> bool:
+    """Whether a table lies at ``path``, after undoing a swap that ended halfway."""
+    at, fs = _fs(spark, path)
+    old = at(f"{path.rstrip('/')}.old")
+    if not fs.exists(at(path)) and fs.exists(old):
+        fs.rename(old, at(path))
+    return fs.exists(at(path))
+
+
+def load(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame], key: str | list[str], mode: str = "incremental", partition_by: str | None = None) -> DataFrame:
     """Build a fact and store it at ``path``: anew with mode 'full', else by upsert.
 
-    ``build`` gets the stored table, or None, and returns the rows to put in; it applies :func:`lookback` itself.
+    ``build`` gets the stored table, or None, and returns the rows to put in; it applies :func:`lookback` itself. With
+    ``partition_by``, a column of days or months say, an incremental run reads and writes only the partitions in which the
+    batch's keys lie or will lie: it looks keys up in two columns of the table, and no other partition is opened for its
+    rows. The batch is written once, aside, and a run that is repeated after a crash gives the same table. Null partition
+    values are a partition like any other.
     """
     if mode not in ("full", "incremental"):
         raise ValueError("mode is 'full' or 'incremental'; append with a lookback would duplicate rows")
-    target = spark.read.parquet(path) if mode == "incremental" and exists(spark, path) else None
-    swap(upsert(target, build(target), key), path)
+    target = spark.read.parquet(path) if mode == "incremental" and restored(spark, path) else None
+    if target is None or partition_by is None:
+        swap(upsert(target, build(target), key), path, [partition_by] if partition_by else None)
+        return spark.read.parquet(path)
+    keys, aside = [key] if isinstance(key, str) else key, f"{path.rstrip('/')}.batch"
+    build(target).write.mode("overwrite").option("compression", "zstd").parquet(aside)
+    batch = spark.read.parquet(aside)
+    part, of_target = F.col(partition_by), dict(target.dtypes)[partition_by]
+    batch = batch.withColumn(partition_by, part.cast(of_target))
+    wanted = batch.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
+    met = target.select(*keys, partition_by).join(wanted, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi").select(partition_by)
+    # Values of the touched partitions only; as literals they prune the scan.
+    touched = [r[0] for r in met.union(batch.select(partition_by)).distinct().collect()]
+    known = [v for v in touched if v is not None]
+    inside = part.isin(known) | part.isNull() if None in touched else part.isin(known)
+    merged = f"{path.rstrip('/')}.merged"
+    result = upsert(target.filter(inside), batch, key).select(*target.columns, *(c for c in batch.columns if c not in target.columns))
+    result.write.mode("overwrite").option("compression", "zstd").partitionBy(partition_by).parquet(merged)
+    ready = spark.read.schema(result.schema).parquet(merged)
+    left = {r[0] for r in ready.select(partition_by).distinct().collect()}
+    at, fs = _fs(spark, path)
+    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition_by).parquet(path)
+    # A partition that lost its last row has nothing to overwrite it.
+    for v in touched:
+        if v not in left:
+            fs.delete(at(f"{path.rstrip('/')}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"), True)
+    for x in (aside, merged):
+        fs.delete(at(x), True)
+    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 
@@ -88,11 +134,16 @@ def touched_rebuild(target: DataFrame, touched: DataFrame, source: DataFrame, ke
     return upsert(target, fresh, key, deleted_keys=keys)
 
 
-def fingerprint(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
-    """(by, rows, fingerprint): equal for equal rows in any order; the sum of row hashes counts repeats."""
+def fingerprint(df: DataFrame, by: list[str], columns: list[str] | None = None, portable: bool = False) -> DataFrame:
+    """(by, rows, fingerprint): equal for equal rows in any order; the sum of row hashes counts repeats.
+
+    The hash is Spark's 64-bit one, or with ``portable`` the first 32 bits of an md5 over the columns by name, joined by
+    ``|``, which other engines have too.
+    """
     cols = sorted(columns or [c for c in df.columns if c not in by])
-    row = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("_null_")) for c in cols)).cast("decimal(38,0)")
-    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(row).cast("string").alias("fingerprint"))
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("_null_")) for c in cols]
+    row = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 8), 16, 10) if portable else F.xxhash64(*text)
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(row.cast("decimal(38,0)")).cast("string").alias("fingerprint"))
 
 
 def backfill(target: DataFrame, build: Callable[[], DataFrame], day: str, first: str, last: str) -> DataFrame:

@@ -6,19 +6,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None) -> DataFrame:
+#: The grains of as-of joins, finest first: each gives a number that grows with time.
+_GRAINS = {
+    "day": lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")),
+    "month": lambda c: F.year(c) * 12 + F.month(c),
+    "year": lambda c: F.year(c),
+}
+
+
+def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month") -> DataFrame:
     """Each fact row with the version of its key whose half-open interval holds ``at``; an open end is null.
 
-    The key is the join's hash key and the range a residual, so versions of one key meet only facts of that key. Facts
-    without a version stay, with nulls. ``columns`` are the version's columns to keep; they must not clash with fact's.
+    Rows meet by key and calendar ``grain``: a version is repeated for each month, say, that it touches, so a key with
+    very many facts and versions is spread over months, and a fact meets only its own month's versions. Months after the
+    last begin or end of any version are one, so open ends stay short. Facts without a version stay, with nulls; versions that end before they
+    begin match nothing. ``columns`` are the version's columns to keep; they must not clash with fact's.
     """
     keys = [on] if isinstance(on, str) else on
     keep = [c for c in versions.columns if c not in keys] if columns is None else columns
-    right = versions.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *(F.col(c) for c in keep))
+    number = _GRAINS[grain]
+    last = versions.agg(number(F.max(F.greatest(valid_from, F.coalesce(valid_to, valid_from))))).first()[0]
+    clamp = lambda c: F.least(number(c), F.lit(last).cast("int"))
+    whole = versions.filter(F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
+    right = whole.select(
+        *(F.col(k).alias(f"_k_{k}") for k in keys),
+        F.col(valid_from).alias("_from"),
+        F.col(valid_to).alias("_to"),
+        *(F.col(c) for c in keep),
+        F.explode(F.sequence(clamp(F.col(valid_from)), F.coalesce(clamp(F.col(valid_to)), F.lit(last).cast("int")))).alias("_v_grain"),
+    )
     inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    same = [fact[k] == right[f"_k_{k}"] for k in keys]
-    joined = fact.join(right, [*same, inside], "left")
-    return joined.drop(*(f"_k_{k}" for k in keys), "_from", "_to")
+    left = fact.withColumn("_f_grain", clamp(F.col(at)))
+    same = [left[k] == right[f"_k_{k}"] for k in keys]
+    joined = left.join(right, [*same, left["_f_grain"] == right["_v_grain"], inside], "left")
+    return joined.drop(*(f"_k_{k}" for k in keys), "_from", "_to", "_f_grain", "_v_grain")
+
+
+def current_join(fact: DataFrame, versions: DataFrame, on: str | list[str], columns: list[str], flag: str = "is_current") -> DataFrame:
+    """Each fact row with its key's current version, whenever the fact happened; facts without one stay, with nulls."""
+    keys = [on] if isinstance(on, str) else on
+    return fact.join(versions.filter(flag).select(*keys, *columns), keys, "left")
 
 
 def interval_days(df: DataFrame, start: str, end: str, last: Column, first: Column | None = None, day: str = "date_day") -> DataFrame:

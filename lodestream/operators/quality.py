@@ -63,12 +63,20 @@ def scd2_one_current(df: DataFrame, key: str, flag: str = "is_current") -> DataF
     return df.groupBy(key).agg(F.count_if(flag).alias("current_versions")).filter("current_versions <> 1")
 
 
-def rowcount_matches(df: DataFrame, other: DataFrame, tolerance: float = 0.0, where: str = "true") -> DataFrame:
-    """One row if the counts differ by more than ``tolerance`` of the other's."""
-    n = df.filter(where).agg(F.count("*").alias("model_rows"))
-    m = other.filter(where).agg(F.count("*").alias("source_rows"))
+def scd2_many_current(df: DataFrame, key: str, flag: str = "is_current") -> DataFrame:
+    """Keys with more than one current version; the generic form, which a key without any passes."""
+    return df.filter(flag).groupBy(key).agg(F.count("*").alias("current_versions")).filter("current_versions > 1")
+
+
+def rowcount_matches(df: DataFrame, other: DataFrame | None = None, tolerance: float = 0.0, where: str = "true") -> DataFrame:
+    """One row if the counts differ by more than ``tolerance`` of the other's. Without ``other``, the rows of ``df`` for
+    which ``where`` holds are counted against all of it, in one pass."""
+    if other is None:
+        both = df.agg(F.count_if(F.expr(where)).alias("model_rows"), F.count("*").alias("source_rows"))
+    else:
+        both = df.filter(where).agg(F.count("*").alias("model_rows")).crossJoin(other.agg(F.count("*").alias("source_rows")))
     delta = F.abs(F.col("model_rows") - F.col("source_rows"))
-    return n.crossJoin(m).withColumn("delta", delta).filter(F.col("delta") > F.lit(float(tolerance)) * F.col("source_rows"))
+    return both.withColumn("delta", delta).filter(F.col("delta") > F.lit(float(tolerance)) * F.col("source_rows"))
 
 
 def parents_without(parent: DataFrame, key: str, child: DataFrame, child_key: str) -> DataFrame:
@@ -186,27 +194,29 @@ def pass_rate(results: DataFrame, failures: str = "failing_rows") -> DataFrame:
 
 
 def pattern_coverage(orders_raw: DataFrame, customers_log: DataFrame, orders: DataFrame, customers: DataFrame, refunds: DataFrame, payments: DataFrame, events: DataFrame) -> DataFrame:
-    """(pattern, n) of the ten sorts of mess that a source must show, so that no check passes over nothing."""
-    legacy = F.lower(F.trim("status")).isin("paid", "complete", "canceled")
-    deleted = customers.filter("is_deleted").select("customer_id")
-    relocated = customers_log.groupBy("id").agg(F.count_distinct("country_code").alias("n")).filter("n > 1")
+    """(pattern, n) of the ten sorts of mess that a source must show, so that no check passes over nothing.
+
+    Each table is read once and gives all its counts; one join finds the orders of deleted customers, one aggregate the relocations.
+    """
+    deleted = customers.filter("is_deleted").select("customer_id", F.lit(True).alias("_deleted")).distinct()
+    relocated = customers_log.groupBy("id").agg((F.min("country_code") < F.max("country_code")).alias("moved"))
     lag = F.col("refund_lag_days")
-    found = {
-        "legacy_status_spelling": orders_raw.filter(legacy),
-        "soft_deleted_customer": deleted,
-        "soft_deleted_customer_with_orders": orders.join(deleted, "customer_id", "left_semi"),
-        "naive_local_time": orders.filter("is_legacy_client_order"),
-        "refund_later_than_7_days": payments.filter(lag > 7),
-        "refund_later_than_14_days": payments.filter(lag > 14),
-        "non_usd_order": orders.filter("currency_code <> 'USD'"),
-        "pending_payment_without_time": payments.filter("is_pending and processed_at is null"),
-        "plan_change": events.filter("changes_revenue"),
-        "relocation": relocated,
-    }
+    counts = [
+        (orders_raw, {"legacy_status_spelling": F.lower(F.trim("status")).isin("paid", "complete", "canceled")}),
+        (customers, {"soft_deleted_customer": F.col("is_deleted")}),
+        (
+            orders.join(deleted, "customer_id", "left"),
+            {"soft_deleted_customer_with_orders": F.col("_deleted"), "naive_local_time": F.col("is_legacy_client_order"), "non_usd_order": F.col("currency_code") != "USD"},
+        ),
+        (payments, {"refund_later_than_7_days": lag > 7, "refund_later_than_14_days": lag > 14, "pending_payment_without_time": F.col("is_pending") & F.col("processed_at").isNull()}),
+        (events, {"plan_change": F.col("changes_revenue")}),
+        (relocated, {"relocation": F.col("moved")}),
+    ]
     out = None
-    for name, df in found.items():
-        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("pattern"), "n")
-        out = row if out is None else out.union(row)
+    for df, found in counts:
+        pairs = F.array(*(F.struct(F.lit(name).alias("pattern"), F.count_if(rule).alias("n")) for name, rule in found.items()))
+        rows = df.agg(pairs.alias("_p")).select(F.explode("_p").alias("_p")).select("_p.*")
+        out = rows if out is None else out.union(rows)
     return out
 
 
@@ -222,7 +232,14 @@ def alerts(progress: DataFrame) -> DataFrame:
     return progress.select("table", F.explode(raised).alias("alert"))
 
 
-def observe(spark: SparkSession, table: str, rows: list[tuple], observed_at) -> None:
-    """Append (metric, subject, value, payload) observations of one moment to the quality series."""
-    schema = "observed_at timestamp, metric string, subject string, value double, payload string"
-    spark.createDataFrame([(observed_at, *r) for r in rows], schema).write.mode("append").format("parquet").saveAsTable(table)
+OBSERVATION = "observed_at timestamp, metric string, subject string, value double, payload string"
+
+
+def observe(spark: SparkSession, table: str, rows: list[tuple] | DataFrame, observed_at) -> None:
+    """Append (metric, subject, value, payload) observations of one moment to the quality series, a table or, with a slash in its name, a folder."""
+    if isinstance(rows, DataFrame):
+        series = rows.select(F.lit(observed_at).cast("timestamp").alias("observed_at"), "metric", "subject", F.col("value").cast("double"), F.col("payload").cast("string"))
+    else:
+        series = spark.createDataFrame([(observed_at, *r) for r in rows], OBSERVATION)
+    writer = series.write.mode("append").format("parquet")
+    writer.save(table) if "/" in table else writer.saveAsTable(table)

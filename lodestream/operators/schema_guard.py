@@ -1,6 +1,7 @@
 """Schema evolution of raw tables: what a batch's schema may change, and what halts its table.
 
-Only schemas are compared here, on the driver; the rows are conformed on the executors.
+A batch's shape comes from its rows, in one aggregate on the executors; only shapes are compared on the driver, and the rows
+are conformed on the executors.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestream.operators.changelog import META, at
 from lodestream.schema import struct
+from lodestream.sources.store import Store
 
 
 class Change(IntEnum):
@@ -108,63 +111,114 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
 
 
+#: Integral types by size, with the largest value of each.
+_INTEGRAL = {T.ByteType(): 1 << 7, T.ShortType(): 1 << 15, T.IntegerType(): 1 << 31, T.LongType(): 1 << 63}
+#: Types whose JSON form is text.
+_FROM_TEXT = (T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.BinaryType())
+_SCALARS = {"BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "STRING": T.StringType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}
+
+
+def _fields(shape: str) -> dict[str, str]:
+    """Names and kinds of the top fields of OBJECT<name: KIND, ...>; kinds of nested fields stay as they are."""
+    out, depth, start, quoted = {}, 0, 0, False
+    inner = shape[len("OBJECT<") : -1] + ","
+    for k, c in enumerate(inner):
+        if c == "`":
+            quoted = not quoted
+        elif not quoted:
+            depth += (c == "<") - (c == ">") + (c == "(") - (c == ")")
+            if c == "," and not depth and inner[start:k].strip():
+                name, kind = inner[start:k].rsplit(": ", 1) if "<" not in inner[start:k] else inner[start:k].split(": ", 1)
+                out[name.strip().strip("`").replace("``", "`")] = kind.strip()
+                start = k + 1
+    return out
+
+
+def batch_shape(rows: DataFrame, known: T.StructType | None, column: str = "_row") -> T.StructType:
+    """The schema that the JSON objects in ``column`` have, as what they would be of ``known``.
+
+    A field whose values all fit its known type has that type. Whole numbers that do not fit a narrow integer are bigint,
+    numbers with a fraction double, objects and arrays text; so are texts that are no date or time where one is known. Values
+    of several types are a variant, which fits no known type, or text in a field that is new. Fields that are null in all rows have their known type; unknown ones of that sort are left out, as JSON tells
+    nothing of them. One aggregate over the rows, and a second one only where a known type needs its values looked at.
+    """
+    found = rows.agg(F.schema_of_variant_agg(column)).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return T.StructType([])
+    kinds, types = _fields(found), {f.name: f.dataType for f in known or ()}
+    checks = {}
+    for k, (name, kind) in enumerate(kinds.items()):
+        own = types.get(name)
+        if kind == "BIGINT" and own in _INTEGRAL and own != T.LongType():
+            n, most = F.try_variant_get(column, at(name), "long"), _INTEGRAL[own]
+            checks[name] = F.count_if((n >= most) | (n < -most)).alias(f"c{k}")
+        elif kind == "STRING" and own in _FROM_TEXT:
+            text = F.try_variant_get(column, at(name), "string")
+            checks[name] = F.count_if(text.isNotNull() & text.try_cast(own).isNull()).alias(f"c{k}")
+    misfits = dict(zip(checks, rows.agg(*checks.values()).first(), strict=True)) if checks else {}
+
+    def typed(name: str, kind: str) -> T.DataType | None:
+        own = types.get(name)
+        if kind == "VOID":
+            return own
+        if name in misfits:
+            return own if not misfits[name] else T.LongType() if kind == "BIGINT" else T.StringType()
+        if kind == "BIGINT" and isinstance(own, (T.LongType, T.FloatType, T.DoubleType, T.DecimalType)):
+            return own
+        if kind.startswith("DECIMAL") or kind in ("DOUBLE", "FLOAT"):
+            return own if isinstance(own, (T.FloatType, T.DoubleType, T.DecimalType)) else T.DoubleType()
+        if kind == "VARIANT" and own is not None:
+            return T.VariantType()
+        return _SCALARS.get(kind, T.StringType())
+
+    shape = [(name, typed(name, kind)) for name, kind in kinds.items() if name not in META.names]
+    return T.StructType([T.StructField(n, t) for n, t in shape if t is not None])
+
+
 AUDIT = struct("detected_at timestamp, table string, column_name string, change string, from_type string, to_type string")
 
 
 class Registry:
-    """Last accepted schema of each table and the tables that are halted, as small JSON files in a folder that Spark's file systems reach.
-
-    A file is written aside and renamed, so a reader sees the old one or the new one.
-    """
+    """Last accepted schema of each table and the tables that are halted, as small files in a folder that Spark's file systems reach."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self._folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _read(self, name: str) -> str | None:
-        path = f"{self._folder}/{name}"
-        if not self._fs.exists(self._path(path)):
-            return None
-        return "\n".join(r["value"] for r in self._spark.read.text(path).collect())
-
-    def _write(self, name: str, text: str) -> None:
-        aside, path = self._path(f"{self._folder}/.{name}.new"), self._path(f"{self._folder}/{name}")
-        self._fs.mkdirs(self._path(self._folder))
-        out = self._fs.create(aside, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        self._fs.delete(path, False)
-        if not self._fs.rename(aside, path):
-            raise OSError(f"{path} was not replaced")
+        self._store = Store(spark, folder)
 
     def known(self, table: str) -> T.StructType | None:
-        text = self._read(f"{table}.json")
+        text = self._store.read(f"{table}.json")
         return None if text is None else T.StructType.fromJson(json.loads(text))
 
     def halted(self, table: str) -> bool:
-        return self._read(f"{table}.halted") is not None
+        return self._store.read(f"{table}.halted") is not None
 
-    def inspect(self, table: str, incoming: T.StructType) -> Verdict:
-        """Classify and, if accepted, register. An incompatible schema halts the table and is never registered."""
+    def check(self, table: str, incoming: T.StructType) -> Verdict:
+        """What ``incoming`` changes of the registered schema; nothing is registered."""
         if self.halted(table):
             raise RuntimeError(f"{table} is halted; resume it first")
-        known = self.known(table)
-        verdict = classify(table, known, incoming)
+        return classify(table, self.known(table), incoming)
+
+    def settle(self, verdict: Verdict) -> None:
+        """Register an accepted schema. An incompatible one halts its table and is never registered."""
         if not verdict.accepted:
-            self._write(f"{table}.halted", str(IncompatibleSchema(verdict)))
-        elif known is None or verdict.merged.json() != known.json():
-            self._write(f"{table}.json", verdict.merged.json())
+            self._store.write(f"{verdict.table}.halted", str(IncompatibleSchema(verdict)))
+            return
+        known = self.known(verdict.table)
+        if known is None or verdict.merged.json() != known.json():
+            self._store.write(f"{verdict.table}.json", verdict.merged.json())
+
+    def inspect(self, table: str, incoming: T.StructType) -> Verdict:
+        """:meth:`check` and :meth:`settle`."""
+        verdict = self.check(table, incoming)
+        self.settle(verdict)
         return verdict
 
     def resume(self, table: str) -> None:
-        self._fs.delete(self._path(f"{self._folder}/{table}.halted"), False)
+        self._store.remove(f"{table}.halted")
 
 
-def audit_rows(spark: SparkSession, verdict: Verdict, at) -> DataFrame:
+def audit_rows(spark: SparkSession, verdict: Verdict, detected_at) -> DataFrame:
     """One row for each difference."""
-    return spark.createDataFrame([(at, verdict.table, d.column, d.change.name.lower(), d.from_type, d.to_type) for d in verdict.differences], AUDIT)
+    return spark.createDataFrame([(detected_at, verdict.table, d.column, d.change.name.lower(), d.from_type, d.to_type) for d in verdict.differences], AUDIT)
 
 
 def labelled_audit(audit: DataFrame) -> DataFrame:

@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.operators.windows import following
+from lodestream.plans import staging
+from lodestream.plans.marts import dim_plan
+
 #: The four plans.
 PLANS = ((1, "legacy_starter", 900), (2, "basic", 1900), (3, "pro", 4900), (4, "enterprise", 19900))
 #: A zone for each nation by its key modulo four; the last is unknown.
@@ -49,36 +53,77 @@ CHANGE_LOG = """change_log AS (
   FROM events)"""
 
 
-def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subscription events: one subscription a user."""
+def _meta(key, at) -> list:
+    """META columns of one change a row: sequence, offset and partition follow the key."""
+    return [
+        F.lit("u").alias("_op"),
+        key.cast("long").alias("_lsn"),
+        key.cast("long").alias("_kafka_offset"),
+        F.lit(0).alias("_kafka_partition"),
+        at.cast("timestamp").alias("_ingested_at"),
+        at.cast("timestamp").alias("_source_ts"),
+    ]
+
+
+def raw_subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lifecycle events: one subscription a user."""
     e = F.col("event_type")
-    kind = F.when(e == "signup", "created").when(e == "purchase", "upgraded").when(e == "view", "resumed").when(e == "click", "paused").otherwise("cancelled")
+    kind = F.when(e == "signup", " Created").when(e == "purchase", "UPGRADED").when(e == "view", "resumed").when(e == "click", "paused ").otherwise("cancelled")
     return read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("subscription_event_id"),
+        F.col("event_id").alias("id"),
         F.col("user_id").alias("subscription_id"),
         kind.alias("event_type"),
-        F.when(e.isin("purchase", "error"), (F.col("event_id") % 3 + 1).cast("int")).alias("from_plan_id"),
-        F.when(e.isin("signup", "purchase"), (F.col("event_id") % 4 + 1).cast("int")).alias("to_plan_id"),
-        F.col("ts").cast("timestamp").alias("occurred_at"),
-        F.col("ts").cast("timestamp").alias("created_at"),
-        kind.isin("created", "resumed").alias("starts_revenue"),
-        kind.isin("cancelled", "paused", "expired").alias("stops_revenue"),
-        kind.isin("upgraded", "downgraded").alias("changes_revenue"),
-        F.col("ts").cast("timestamp").alias("_ingested_at"),
+        F.when(e.isin("purchase", "error"), F.col("event_id") % 3 + 1).alias("from_plan_id"),
+        F.when(e.isin("signup", "purchase"), F.col("event_id") % 4 + 1).alias("to_plan_id"),
+        F.col("ts").alias("occurred_at"),
+        F.col("ts").alias("created_at"),
+        *_meta(F.col("event_id"), F.col("ts")),
+    )
+
+
+def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged lifecycle events."""
+    return staging.subscription_events(raw_subscription_events(spark, sf_dir))
+
+
+def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subscription a user, begun with the user's first event."""
+    first = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("id")).agg(F.min("ts").alias("started_at"), F.max("ts").alias("updated_at"))
+    return first.select(
+        "id",
+        F.col("id").alias("customer_id"),
+        (F.col("id") % 4 + 1).alias("plan_id"),
+        F.when(F.col("id") % 5 == 0, " Trialing").otherwise("ACTIVE").alias("status"),
+        "started_at",
+        F.lit(None).cast("timestamp").alias("ended_at"),
+        (F.col("started_at") + F.expr(f"interval {TRIAL_DAYS} days")).alias("trial_ends_at"),
+        "updated_at",
+        *_meta(F.col("id"), F.col("updated_at")),
     )
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("subscription_id")).agg(F.min("ts").cast("timestamp").alias("started_at"))
-    return first.select("subscription_id", F.col("subscription_id").alias("customer_id"), "started_at", (F.col("started_at") + F.expr(f"interval {TRIAL_DAYS} days")).alias("trial_ends_at"))
+    """Staged subscriptions."""
+    return staging.subscriptions(raw_subscriptions(spark, sf_dir))
 
 
-def plans(spark: SparkSession) -> DataFrame:
-    from lodestream.plans.marts import dim_plan
+def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plans that events name, a change a event: the newest has the price that holds."""
+    k = F.col("event_id") % 4
+    pick = lambda at: F.element_at(F.array(*(F.lit(p[at]) for p in PLANS)), (k + 1).cast("int"))
+    return read(spark, sf_dir, "events").select(
+        (k + 1).alias("id"),
+        F.concat(pick(1), F.lit(" ")).alias("code"),
+        pick(2).alias("monthly_cents"),
+        F.lit("usd").alias("currency"),
+        (k != 0).alias("active"),
+        *_meta(F.col("event_id"), F.col("ts")),
+    )
+
 
-    values = ", ".join(f"({i}, '{code}', {cents}L, 'USD', {code != 'legacy_starter'}, {i})" for i, code, cents in PLANS)
-    # An inline table has a known size, so Spark broadcasts it by itself.
-    return dim_plan(spark.sql(f"SELECT * FROM VALUES {values} AS t(plan_id, plan_code, monthly_cents, currency_code, is_active, price_rank)"))
+def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan dimension over staged plans."""
+    return dim_plan(staging.plans(raw_plans(spark, sf_dir)))
 
 
 LIFECYCLE = f"""plans(plan_id, plan_code, monthly_cents) AS (VALUES {', '.join(str(p) for p in PLANS)}),
@@ -108,35 +153,50 @@ def last_event_day(spark: SparkSession, sf_dir: str):
     return read(spark, sf_dir, "events").agg(F.max("ts").cast("date")).first()[0]
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as payments."""
-    status = F.when(F.col("o_orderstatus") == "P", "pending").otherwise("succeeded")
-    return read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("payment_id"),
-        F.col("o_orderkey").alias("order_id"),
+def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as payments; of every fifth there is an older bulk row, still pending."""
+    orders = read(spark, sf_dir, "orders")
+    k, at = F.col("o_orderkey"), F.col("o_orderdate")
+    pending = F.col("o_orderstatus") == "P"
+    now = orders.select(
+        k.alias("id"),
+        k.alias("order_id"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"),
-        F.col("o_orderpriority").alias("payment_method"),
-        status.alias("payment_status"),
-        F.when(status == "succeeded", F.col("o_orderdate").cast("timestamp")).alias("processed_at"),
-        F.col("o_orderdate").cast("timestamp").alias("created_at"),
-        F.col("o_orderdate").cast("timestamp").alias("updated_at"),
-        (status == "succeeded").alias("is_successful"),
-        (status == "pending").alias("is_pending"),
-        F.col("o_orderdate").cast("timestamp").alias("_ingested_at"),
+        F.upper("o_orderpriority").alias("method"),
+        F.when(pending, " Pending").otherwise("SUCCEEDED").alias("status"),
+        F.when(~pending, at).alias("processed_at"),
+        at.alias("created_at"),
+        at.alias("updated_at"),
+        *_meta(k, at),
     )
+    bulk = now.filter(F.col("id") % 5 == 0).withColumns({"status": F.lit("pending"), "_op": F.lit("r"), "_lsn": F.lit(None).cast("long"), "_kafka_partition": F.lit(-1)})
+    return now.unionByName(bulk)
 
 
-def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged payments."""
+    return staging.payments(raw_payments(spark, sf_dir))
+
+
+def raw_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned items as refunds of their order's payment."""
     items = read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
     return items.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("id"),
         F.col("l_orderkey").alias("payment_id"),
-        F.round(F.col("l_extendedprice") * 100).cast("long").alias("refund_amount_cents"),
-        F.col("l_shipdate").cast("timestamp").alias("issued_at"),
-        F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("amount_cents"),
+        F.when(F.col("l_linestatus") == "F", F.concat(F.lit(" "), "l_linestatus")).otherwise("  ").alias("reason"),
+        F.col("l_shipdate").alias("issued_at"),
+        F.col("l_shipdate").alias("created_at"),
+        *_meta(F.col("l_orderkey"), F.col("l_shipdate") + F.make_dt_interval(F.col("l_linenumber"))),
     )
 
 
+def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged refunds, ingested when they were issued."""
+    return staging.refunds(raw_refunds(spark, sf_dir)).withColumn("_ingested_at", F.col("issued_at"))
+
+
 PAYMENTS = """payments AS (
   SELECT o_orderkey AS payment_id, o_custkey AS customer_id, CAST(round(o_totalprice * 100) AS BIGINT) AS amount_cents, o_orderdate AS created_at,
          CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE 'succeeded' END AS payment_status FROM orders),
@@ -158,7 +218,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(
         k.alias("id"),
         F.col("o_custkey").alias("customer_id"),
-        F.lit(None).cast("string").alias("subscription_id"),
+        F.when(k % 3 == 0, F.col("o_custkey") % 200).alias("subscription_id"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"),
         F.when(k % 10 < 8, " usd").when(k % 10 == 8, "EUR").otherwise("gbp ").alias("currency"),
         F.when(F.col("o_orderstatus") == "O", "paid").when(F.col("o_orderstatus") == "F", " Completed").when(k % 2 == 0, "canceled").otherwise("bogus").alias("status"),
@@ -174,10 +234,34 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("c_nationkey") % 4
-    zone = F.when(n == 0, ZONES[0]).when(n == 1, ZONES[1]).when(n == 2, ZONES[2])
-    return read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), F.coalesce(zone, F.lit("UTC")).alias("timezone"), zone.isNotNull().alias("has_explicit_timezone"))
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers: a bulk row each, and a change for every second one; some are marked as deleted, some removed at the source."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey") % 4
+    zone = F.when(n == 0, ZONES[0]).when(n == 1, ZONES[1]).when(n == 2, ZONES[2]).otherwise("  ")
+    at = F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval((k % 300).cast("int"))
+    bulk = read(spark, sf_dir, "customer").select(
+        k.alias("id"),
+        F.concat(F.lit(" "), "c_name", F.lit("@Shop.Example")).alias("email"),
+        F.concat("c_name", F.lit(" ")).alias("name"),
+        F.concat(F.lit("n"), F.col("c_nationkey") % 10).alias("country_code"),
+        zone.alias("timezone"),
+        at.alias("created_at"),
+        at.alias("updated_at"),
+        F.when(F.col("c_acctbal") < 0, at).alias("deleted_at"),
+        F.lit("r").alias("_op"),
+        F.lit(None).cast("long").alias("_lsn"),
+        k.alias("_kafka_offset"),
+        F.lit(-1).alias("_kafka_partition"),
+        at.alias("_ingested_at"),
+        F.lit(None).cast("timestamp").alias("_source_ts"),
+    )
+    changed = bulk.filter("id % 2 = 0").withColumns({"name": F.concat(F.lit("new "), "name"), "_op": F.when(F.col("id") % 14 == 0, "d").otherwise("u"), "_lsn": F.col("id"), "_kafka_partition": F.lit(0)})
+    return bulk.unionByName(changed)
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged customers."""
+    return staging.customers(raw_customers(spark, sf_dir))
 
 
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,8 +290,6 @@ rated AS (
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A version of each customer from every order day on, until the next."""
-    from lodestream.operators.windows import following
-
     days = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("timestamp").alias("valid_from")).agg(F.min("o_orderkey").alias("version_key"))
     return days.withColumn("valid_to", following("valid_from", "customer_id", ["valid_from"]))
 

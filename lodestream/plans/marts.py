@@ -172,15 +172,18 @@ def fct_mrr_daily(periods: DataFrame, dim_plan_: DataFrame, run_as_of, first: Co
     # Plans are joined before the periods become days: few rows move, and few plans are no join key for many.
     earning = periods.filter("can_earn_revenue").select("subscription_id", "customer_id", "plan_id", "revenue_from", "valid_to").join(plans, "plan_id")
     daily = interval_days(earning, "revenue_from", "valid_to", last, first).withColumn("days_in_month", S.days_in_month(F.col("date_day"))).withColumn("_cents", F.col("monthly_cents").cast("double") / F.col("days_in_month"))
-    whole = F.max("days_in_month")
-    tier = lambda t: (F.sum(F.when(F.col("plan_tier") == t, F.col("_cents")).otherwise(F.lit(0.0))) * whole).alias(f"mrr_{t}_cents")
-    out = daily.groupBy("date_day").agg(
+    tiers, whole = ("entry", "mid", "top", "legacy"), F.max("days_in_month")
+    of_tier = lambda t: F.sum(F.when(F.col("plan_tier") == t, F.col("_cents")).otherwise(F.lit(0.0)))
+    # Summed by subscription first, a day needs one distinct count instead of two, which would triple its rows.
+    own = daily.groupBy("date_day", "days_in_month", "subscription_id", "customer_id").agg(F.sum("_cents").alias("_cents"), *(of_tier(t).alias(f"_{t}") for t in tiers))
+    counted = own.groupBy("date_day", "days_in_month", "customer_id").agg(F.count("*").alias("_subscriptions"), F.sum("_cents").alias("_cents"), *(F.sum(f"_{t}").alias(f"_{t}") for t in tiers))
+    out = counted.groupBy("date_day").agg(
         whole.alias("days_in_month"),
-        F.count_distinct("subscription_id").alias("active_subscriptions"),
-        F.count_distinct("customer_id").alias("paying_customers"),
+        F.sum("_subscriptions").alias("active_subscriptions"),
+        F.count("customer_id").alias("paying_customers"),
         F.sum("_cents").alias("daily_mrr_cents"),
         (F.sum("_cents") * whole).alias("mrr_cents"),
-        *(tier(t) for t in ("entry", "mid", "top", "legacy")),
+        *((F.sum(f"_{t}") * whole).alias(f"mrr_{t}_cents") for t in tiers),
     )
     return (
         out.withColumn("prev_mrr_cents", moved("mrr_cents"))

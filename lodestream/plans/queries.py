@@ -2,46 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestream.functions import scalars as S
 from lodestream.operators import changelog, incremental, joins, quality, scd2
 from lodestream.plans import bindings as B
-from lodestream.plans import intermediate, marts, serving
-from lodestream.schema import struct
-from lodestream.session import configured
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configured(spark), sf_dir)
-
-        QUERIES[fn.__name__] = run
-        if sql is not None:
-            ORACLE_SQL[fn.__name__] = sql
-        return run
-
-    return register
+from lodestream.plans import intermediate, marts, serving, staging
+from lodestream.plans.registered import ORACLE_SQL, QUERIES, longs, query
 
-
-def longs(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("long") for c in columns})
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-lodestream-")
-    return f"{root}/lodestream-{uuid.uuid4().hex}"
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
 
 
 # --- change log ---------------------------------------------------------------------------------
@@ -91,40 +61,6 @@ def union_by_offset(spark, sf_dir):
     return longs(out.select("_kafka_partition", "_kafka_offset", "event_id", "value"), "_kafka_partition")
 
 
-_PAYLOAD = struct("id long, event_type string, value double")
-
-
-def _messages(spark, sf_dir) -> DataFrame:
-    """Events as broker records: wrapped and bare envelopes, tombstones, broken text and events without an operation."""
-    log, n = B.change_log(spark, sf_dir), F.col("event_id") % 20
-    row = F.struct("id", "event_type", "value")
-    side = lambda mine: F.when(mine, row)
-    body = F.struct(
-        F.when(n != 3, F.col("_op")).alias("op"),
-        side(F.col("_op") == "d").alias("before"),
-        side(F.col("_op") != "d").alias("after"),
-        F.struct(F.lit("events").alias("table"), F.col("event_id").alias("lsn"), F.unix_millis("_source_ts").alias("ts_ms")).alias("source"),
-    )
-    text = F.when(n == 1, F.lit(None)).when(n == 2, F.lit("{broken")).when(n < 10, F.to_json(F.struct(body.alias("payload")))).otherwise(F.to_json(body))
-    return log.select(text.alias("value"), F.lit("shop.public.events").alias("topic"), F.col("_kafka_partition").alias("partition"), F.col("_kafka_offset").alias("offset"), F.col("_ingested_at").alias("timestamp"))
-
-
-@query(
-    f"""WITH {B.CHANGE_LOG}
-SELECT id, event_type, value, _op, event_id AS _lsn, _kafka_offset, _kafka_partition, 'events' AS "table", date_trunc('milliseconds', _source_ts) AS _source_ts
-FROM change_log WHERE event_id % 20 NOT IN (1, 2, 3)"""
-)
-def parse_change_events(spark, sf_dir):
-    out = changelog.parse_changes(_messages(spark, sf_dir), _PAYLOAD)
-    return longs(out.select("id", "event_type", "value", "_op", "_lsn", "_kafka_offset", "_kafka_partition", F.col("_table").alias("table"), B.ntz("_source_ts")), "_kafka_partition")
-
-
-@query(f"WITH {B.CHANGE_LOG} SELECT 'invalid json' AS reason, count(*) AS n, CAST(sum(_kafka_offset) AS BIGINT) AS offsets FROM change_log WHERE event_id % 20 = 2")
-def dead_letter_records(spark, sf_dir):
-    bad = changelog.unparseable(_messages(spark, sf_dir))
-    return bad.groupBy("reason").agg(F.count("*").alias("n"), F.sum("offset").alias("offsets"))
-
-
 # --- rules --------------------------------------------------------------------------------------
 
 
@@ -135,15 +71,11 @@ SELECT CASE lower(trim(status)) WHEN 'paid' THEN 'completed' WHEN 'completed' TH
 FROM raw GROUP BY ALL"""
 )
 def normalise_status(spark, sf_dir):
-    from lodestream.plans import staging
-
     return staging.orders(B.raw_orders(spark, sf_dir)).groupBy("order_status", "order_status_raw", "has_unrecognised_status").agg(F.count("*").alias("n"))
 
 
 def _resolved(spark, sf_dir) -> DataFrame:
-    from lodestream.plans import staging
-
-    return intermediate.orders_resolved(staging.orders(B.raw_orders(spark, sf_dir)), B.zones(spark, sf_dir), B.fx_rates(spark, sf_dir))
+    return intermediate.orders_resolved(staging.orders(B.raw_orders(spark, sf_dir)), B.customers(spark, sf_dir), B.fx_rates(spark, sf_dir))
 
 
 @query(
@@ -180,7 +112,7 @@ def payments_with_refunds(spark, sf_dir):
     out = _paid(spark, sf_dir).select(
         "payment_id", "amount_cents", "refunded_amount_cents", "refund_count", "net_amount_cents", "is_refunded", "is_fully_refunded", "is_partially_refunded", "refund_lag_days", B.ntz("_ingested_at", "ingested_at")
     )
-    return longs(out, "refund_lag_days")
+    return longs(out, "payment_id", "refund_lag_days")
 
 
 @query(
@@ -218,26 +150,29 @@ def touched_key_rebuild(spark, sf_dir):
     return incremental.touched_rebuild(build(source.filter("l_linenumber % 3 <> 0")), source.filter("l_linenumber % 3 = 0"), source, "order_id", build)
 
 
-@query(
-    """SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || '-' || event_type), 1, 8) AS BIGINT)) AS BIGINT) AS fingerprint
-FROM events GROUP BY ALL"""
-)
+_MD5 = "CAST(sum(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)) AS VARCHAR)"
+
+
+@query(f"""SELECT CAST(ts AS DATE) AS day, count(*) AS rows, {_MD5.format("event_id || '|' || event_type || '|' || user_id")} AS fingerprint FROM events GROUP BY ALL""")
 def partition_fingerprint(spark, sf_dir):
-    """An order-insensitive fingerprint of each day; md5 stands in for the library's hash, which SQL lacks."""
-    word = F.conv(F.substring(F.md5(F.concat_ws("-", F.col("event_id").cast("string"), "event_type")), 1, 8), 16, 10).cast("long")
-    return B.read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.sum(word).alias("fingerprint"))
+    """An order-insensitive fingerprint of each day, by the hash that other engines have too."""
+    days = B.read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_id", "event_type", "user_id")
+    return incremental.fingerprint(days, ["day"], portable=True)
 
 
-@query()
+@query(
+    f"""WITH totals AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY ALL),
+marked AS (SELECT day, count(*) AS rows, {_MD5.format("cents || '|' || event_type || '|' || n")} AS mark FROM totals GROUP BY day)
+SELECT day, rows, mark AS before, mark AS after, TRUE AS same FROM marked"""
+)
 def backfill_proof(spark, sf_dir):
-    """Days of the event totals deleted and rebuilt: fingerprints before and after, by day, with whether they agree."""
+    """The later half of the event totals deleted and rebuilt: fingerprints before and after, by day, with whether they agree."""
     events = B.read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    build = lambda: events.groupBy("day", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value"))
+    build = lambda: events.groupBy("day", "event_type").agg(F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
     low, high = events.agg(F.min("day"), F.max("day")).first()
-    middle = low + (high - low) / 2
-    again = incremental.backfill(build(), build, "day", str(middle), str(high))
-    a = incremental.fingerprint(build(), ["day"]).withColumnRenamed("fingerprint", "before").drop("rows")
-    return incremental.fingerprint(again, ["day"]).withColumnRenamed("fingerprint", "after").join(a, "day").withColumn("same", F.col("before") == F.col("after"))
+    again = incremental.backfill(build(), build, "day", str(low + (high - low) / 2), str(high))
+    mark = lambda df, name: incremental.fingerprint(df, ["day"], portable=True).withColumnRenamed("fingerprint", name)
+    return mark(again, "after").join(mark(build(), "before").drop("rows"), "day").withColumn("same", F.col("before") == F.col("after"))
 
 
 # --- versions -----------------------------------------------------------------------------------
@@ -330,7 +265,7 @@ def plan_periods(spark, sf_dir):
     out = _periods(spark, sf_dir).select(
         "subscription_id", "subscription_event_id", "event_type", "revenue_state", "plan_id", B.ntz("valid_from"), B.ntz("valid_to"), "is_current_interval", B.ntz("revenue_from"), "can_earn_revenue"
     )
-    return longs(out, "plan_id")
+    return longs(out, "subscription_id", "plan_id")
 
 
 _MRR = f"""WITH {B.LIFECYCLE},
@@ -353,7 +288,7 @@ moved AS (
 
 
 def _mrr(spark, sf_dir) -> DataFrame:
-    return marts.fct_mrr_daily(_periods(spark, sf_dir), B.plans(spark), str(B.last_event_day(spark, sf_dir)))
+    return marts.fct_mrr_daily(_periods(spark, sf_dir), B.plans(spark, sf_dir), str(B.last_event_day(spark, sf_dir)))
 
 
 @query(
@@ -408,7 +343,7 @@ FROM lifecycle LEFT JOIN plans f ON from_plan_id = f.plan_id LEFT JOIN plans t O
 def subscription_event_deltas(spark, sf_dir):
     subs = B.subscriptions(spark, sf_dir)
     versions = subs.select("customer_id", S.surrogate_key(F.col("customer_id")).alias("customer_key"), F.col("started_at").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
-    out = marts.fct_subscription_events(B.lifecycle(spark, sf_dir), subs, B.plans(spark), versions)
+    out = marts.fct_subscription_events(B.lifecycle(spark, sf_dir), subs, B.plans(spark, sf_dir), versions)
     return out.select("subscription_event_id", "event_type", "from_plan_code", "to_plan_code", "mrr_delta_cents", "event_date")
 
 
@@ -422,10 +357,8 @@ SELECT count(*) AS days, round(sum(m.mrr_cents), 3) AS log_cents, round(sum(s.mr
 def mrr_two_path_reconciliation(spark, sf_dir):
     """MRR from the event log beside MRR from a state table, over the last seven days."""
     last = str(B.last_event_day(spark, sf_dir))
-    state = B.subscriptions(spark, sf_dir).select(
-        "subscription_id", (F.col("subscription_id") % 4 + 1).cast("int").alias("plan_id"), F.lit("active").alias("subscription_status"), "started_at", "trial_ends_at", F.lit(None).cast("timestamp").alias("ended_at")
-    )
-    own = marts.mrr_from_state(state, B.plans(spark), last, days=7)
+    state = B.subscriptions(spark, sf_dir).withColumn("subscription_status", F.lit("active"))
+    own = marts.mrr_from_state(state, B.plans(spark, sf_dir), last, days=7)
     both = _mrr(spark, sf_dir).select("date_day", F.col("mrr_cents").alias("log")).join(own, "date_day")
     return both.agg(F.count("*").alias("days"), F.round(F.sum("log"), 3).alias("log_cents"), F.round(F.sum("mrr_cents"), 3).alias("state_cents"))
 
@@ -570,8 +503,7 @@ def dq_accepted(spark, sf_dir):
     """SELECT n AS model_rows, m AS source_rows, abs(n - m) AS delta FROM (SELECT count(*) FILTER (l_returnflag = 'R') AS n, count(*) AS m FROM lineitem) WHERE abs(n - m) > 0.02 * m"""
 )
 def dq_rowcount(spark, sf_dir):
-    items = B.read(spark, sf_dir, "lineitem")
-    return quality.rowcount_matches(items.filter("l_returnflag = 'R'"), items, 0.02)
+    return quality.rowcount_matches(B.read(spark, sf_dir, "lineitem"), tolerance=0.02, where="l_returnflag = 'R'")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND nullif(o_orderpriority, '1-URGENT') IS NULL")
@@ -592,12 +524,12 @@ def dq_expression(spark, sf_dir):
 
 @query(f"WITH {B.PAYMENTS} SELECT payment_id, CAST(refund_lag_days AS BIGINT) AS refund_lag_days FROM paid WHERE refund_lag_days > 21")
 def dq_late_arrival(spark, sf_dir):
-    return longs(quality.late_beyond_lookback(_paid(spark, sf_dir), "refund_lag_days").select("payment_id", "refund_lag_days"), "refund_lag_days")
+    return longs(quality.late_beyond_lookback(_paid(spark, sf_dir), "refund_lag_days").select("payment_id", "refund_lag_days"), "payment_id", "refund_lag_days")
 
 
 @query(f"WITH {B.PAYMENTS} SELECT payment_id, refunded_amount_cents, amount_cents FROM paid WHERE refunded_amount_cents > amount_cents")
 def dq_refund_exceeds(spark, sf_dir):
-    return quality.refund_exceeds_payment(_paid(spark, sf_dir)).select("payment_id", "refunded_amount_cents", "amount_cents")
+    return longs(quality.refund_exceeds_payment(_paid(spark, sf_dir)).select("payment_id", "refunded_amount_cents", "amount_cents"), "payment_id")
 
 
 _BROKEN = f"""WITH {B.VERSIONS}, broken AS (SELECT customer_id, version_key, valid_from,
@@ -673,10 +605,8 @@ UNION ALL SELECT 'relocation', count(*) FROM (SELECT customer_id FROM versions G
 )
 def pattern_coverage(spark, sf_dir):
     """Counts of the ten sorts of mess over the bound tables; accounts below zero stand for deleted customers."""
-    from lodestream.plans import staging
-
     raw_rows = B.raw_orders(spark, sf_dir)
-    people = B.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), (F.col("c_acctbal") < 0).alias("is_deleted"))
+    people = B.customers(spark, sf_dir)
     moves = B.versions(spark, sf_dir).select(F.col("customer_id").alias("id"), (F.col("version_key") % 2).alias("country_code"))
     return quality.pattern_coverage(raw_rows, moves, staging.orders(raw_rows), people, B.refunds(spark, sf_dir), _paid(spark, sf_dir), B.lifecycle(spark, sf_dir))
 
@@ -729,7 +659,7 @@ SELECT day, n, value FROM daily ORDER BY n DESC, day DESC LIMIT 20"""
 )
 def busiest_days(spark, sf_dir):
     days = B.read(spark, sf_dir, "events").filter("event_type = 'purchase'").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("value"))
-    return days.orderBy(F.desc("n"), F.desc("day")).limit(20)
+    return serving.recent(days, "n", 20, tie="day")
 
 
 @query("SELECT count(*) AS n_rows, count(DISTINCT l_partkey) AS n_distinct, count(*) FILTER (l_partkey = 42) AS n_found FROM lineitem")
@@ -753,18 +683,18 @@ def bulk_snapshot(spark, sf_dir):
 
 
 @query(
-    f"""WITH {B.RESOLVED}, {B.VERSIONS}
-SELECT order_id, version_key, order_status, currency_code, CAST(placed_at_utc AS DATE) AS order_date, md5(CAST(CAST(placed_at_utc AS DATE) AS VARCHAR)) AS date_key,
+    f"""WITH {B.RESOLVED}, {B.VERSIONS}, plans_ AS (SELECT DISTINCT user_id AS sub, md5(CAST(user_id % 4 + 1 AS VARCHAR)) AS plan_key FROM events)
+SELECT order_id, plan_key, version_key, order_status, currency_code, CAST(placed_at_utc AS DATE) AS order_date, md5(CAST(CAST(placed_at_utc AS DATE) AS VARCHAR)) AS date_key,
   CAST(round(CASE WHEN currency_code = 'USD' THEN amount_cents ELSE amount_cents / rate_to_usd END) AS BIGINT) AS amount_usd_cents
-FROM rated r LEFT JOIN versions v ON r.customer_id = v.customer_id AND placed_at_utc >= valid_from AND (valid_to IS NULL OR placed_at_utc < valid_to)"""
+FROM rated r LEFT JOIN versions v ON r.customer_id = v.customer_id AND placed_at_utc >= valid_from AND (valid_to IS NULL OR placed_at_utc < valid_to)
+LEFT JOIN plans_ ON order_id % 3 = 0 AND sub = r.customer_id % 200"""
 )
 def order_facts(spark, sf_dir):
-    """Orders staged, resolved, rated and joined to the customer version of their instant; the version's key stands as its country."""
+    """Orders staged, resolved, rated, and joined to their subscription's plan and the customer version of their instant; the version's key stands as its country."""
     v = B.versions(spark, sf_dir)
     dim = v.select(F.col("customer_id").cast("string"), S.surrogate_key(F.col("customer_id"), F.col("valid_from")).alias("customer_key"), "valid_from", "valid_to", F.col("version_key").alias("country_code"), F.lit(False).alias("is_deleted"))
-    none = spark.createDataFrame([], "subscription_id string, plan_id int")
-    out = marts.fct_orders(_resolved(spark, sf_dir), dim, B.plans(spark), none)
-    return out.select(F.col("order_id").cast("long"), F.col("customer_country_at_order_time").alias("version_key"), "order_status", "currency_code", "order_date", "date_key", "amount_usd_cents")
+    out = marts.fct_orders(_resolved(spark, sf_dir), dim, B.plans(spark, sf_dir), B.subscriptions(spark, sf_dir))
+    return out.select(F.col("order_id").cast("long"), "plan_key", F.col("customer_country_at_order_time").alias("version_key"), "order_status", "currency_code", "order_date", "date_key", "amount_usd_cents")
 
 
 @query(
@@ -776,55 +706,10 @@ SELECT payment_id, order_date, payment_status = 'succeeded' AS is_successful, am
 )
 def payment_facts(spark, sf_dir):
     orders = _resolved(spark, sf_dir).select(
-        F.col("order_id").cast("long"), F.lit(None).cast("string").alias("customer_key"), "customer_id", S.date_key(F.col("placed_at_utc")).alias("date_key"), F.to_date("placed_at_utc").alias("order_date"), "order_channel", "currency_code", "rate_to_usd"
+        "order_id", F.lit(None).cast("string").alias("customer_key"), "customer_id", S.date_key(F.col("placed_at_utc")).alias("date_key"), F.to_date("placed_at_utc").alias("order_date"), "order_channel", "currency_code", "rate_to_usd"
     )
     out = marts.fct_payments(_paid(spark, sf_dir), orders)
-    return out.select("payment_id", "order_date", "is_successful", "gross_amount_cents", "net_amount_cents", "gross_amount_usd_cents", "refunded_amount_usd_cents", "net_amount_usd_cents")
-
-
-# --- ingest -------------------------------------------------------------------------------------
-
-
-@query()
-def schema_guard_verdicts(spark, sf_dir):
-    """What each given table's schema changes against that of every other one, by class."""
-    from lodestream.operators.schema_guard import classify
-
-    names = ("nation", "region", "customer", "supplier", "part", "orders", "lineitem", "events")
-    shape = {n: T.StructType([T.StructField(f.name.split("_", 1)[-1], f.dataType) for f in B.read(spark, sf_dir, n).schema]) for n in names}
-    rows = [(a, b, v.severity.name.lower(), len(v.differences)) for a in names for b in names if a != b for v in [classify(a, shape[a], shape[b])]]
-    return spark.createDataFrame(rows, "table string, incoming string, severity string, n_differences int")
-
-
-@query()
-def stream_ingest_replay(spark, sf_dir):
-    """The events ingested as a stream, then delivered again in another order: fingerprints of each directory before and after, with whether they agree."""
-    from lodestream.operators.schema_guard import Registry
-    from lodestream.sources.sinks import day_checksums
-    from lodestream.streaming.ingest import files, ingest
-
-    root = scratch(spark)
-    messages = _messages(spark, sf_dir)
-    messages.repartition(4).write.json(f"{root}/in/first")
-    registry = Registry(spark, f"{root}/registry")
-    ingest(files(spark, f"{root}/in/*"), "events", _PAYLOAD, registry, f"{root}/raw", f"{root}/checkpoint", once=True).awaitTermination()
-    before = day_checksums(spark, f"{root}/raw/events").withColumnRenamed("fingerprint", "before").drop("rows")
-    before.write.parquet(f"{root}/before")
-    messages.filter("offset % 2 = 0").orderBy(F.desc("offset")).write.json(f"{root}/in/second")
-    ingest(files(spark, f"{root}/in/*"), "events", _PAYLOAD, registry, f"{root}/raw", f"{root}/checkpoint", once=True).awaitTermination()
-    after = day_checksums(spark, f"{root}/raw/events").withColumnRenamed("fingerprint", "after")
-    keys = ["_ingested_date", "_kafka_partition", "_offset_block"]
-    return after.join(spark.read.parquet(f"{root}/before"), keys).withColumn("same", F.col("before") == F.col("after"))
-
-
-@query()
-def dlq_split(spark, sf_dir):
-    """Each event record by what becomes of it: parsed, tombstone, without operation, or dead."""
-    m = _messages(spark, sf_dir)
-    total = m.agg(F.count("*").alias("n")).select(F.lit("all").alias("outcome"), "n")
-    dead = changelog.unparseable(m).agg(F.count("*").alias("n")).select(F.lit("dead").alias("outcome"), "n")
-    parsed = changelog.parse_changes(m, _PAYLOAD).agg(F.count("*").alias("n")).select(F.lit("parsed").alias("outcome"), "n")
-    return total.union(dead).union(parsed)
+    return longs(out.select("payment_id", "order_date", "is_successful", "gross_amount_cents", "net_amount_cents", "gross_amount_usd_cents", "refunded_amount_usd_cents", "net_amount_usd_cents"), "payment_id")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -836,3 +721,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.fct_revenue_rolling(spine, daily)
 
 
+# The other modules register their queries when they are imported.
+from lodestream.plans import check_queries, ingest_queries, staging_queries  # noqa: E402, F401

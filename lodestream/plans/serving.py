@@ -126,5 +126,6 @@ def quality_series(observations: DataFrame, run_as_of, days: int = 14) -> DataFr
     return observations.filter((F.col("observed_at") > now - F.expr(f"interval {days} days")) & (F.col("observed_at") <= now)).groupBy(F.to_date("observed_at").alias("day"), "metric").agg(F.avg("value").alias("value"))
 
 
-def recent(df: DataFrame, at: str, n: int = 20) -> DataFrame:
-    return df.orderBy(F.col(at).desc()).limit(n)
+def recent(df: DataFrame, at: str, n: int = 20, tie: str | None = None) -> DataFrame:
+    """The n newest rows; ``tie`` orders rows of one moment."""
+    return df.orderBy(F.col(at).desc(), *([F.col(tie).desc()] if tie else [])).limit(n)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestream.operators.changelog import union_by_offset
 from lodestream.operators.incremental import exists, fingerprint
+from lodestream.operators.schema_guard import IncompatibleSchema, classify, conform
+from lodestream.sources.store import Store
 
 #: Offsets of one block; an offset always falls into the same directory.
 BLOCK = 100_000
@@ -18,36 +23,60 @@ def placed(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingested_date", F.to_date("_ingested_at")).withColumn("_offset_block", F.floor(F.col("_kafka_offset") / BLOCK).cast("long"))
 
 
+#: The raw files' compression level and rows of a row group; dictionaries are on.
+WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.block.row.count.limit": "131072", "parquet.enable.dictionary": "true"}
+_SCHEMA = "schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema of a raw table that :func:`write_batch` wrote, its widest types so far; without one, that of its files."""
+    text = Store(spark, path).read(_SCHEMA)
+    if text is not None:
+        return T.StructType.fromJson(json.loads(text))
+    return spark.read.option("mergeSchema", "true").parquet(path).schema if exists(spark, path) else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table, older and narrower files in its widest schema."""
+    return spark.read.schema(stored_schema(spark, path)).parquet(path)
+
+
 def write_batch(batch: DataFrame, path: str, delivery: list[str] | None = None) -> None:
     """Merge a batch into the raw table at ``path``.
 
     Only the directories that the batch falls into are read and replaced. Within them one row stays for each (partition,
-    offset): the batch's, and of the batch's copies the last by ``delivery``. So the same batch twice, shuffled or
-    overlapping, leaves the same rows. A batch across midnight goes to two days.
+    offset): the batch's, and of the batch's copies the last by ``delivery``, columns that are not stored. So the same batch
+    twice, shuffled or overlapping, leaves the same rows. A batch across midnight goes to two days. Columns that only the
+    table or only the batch has, and types that either has wider, are kept in the table's schema, which is written before the
+    rows; a batch with a type that the guard calls incompatible is an error.
     """
     spark = batch.sparkSession
     new = placed(batch).persist()
     try:
-        merged = new
-        if exists(spark, path):
+        known = stored_schema(spark, path)
+        own = T.StructType([f for f in new.schema if f.name not in (delivery or [])])
+        verdict = classify(path, known, own)
+        if not verdict.accepted:
+            raise IncompatibleSchema(verdict)
+        schema = verdict.merged
+        if known is not None:
             touched = new.select(*LAYOUT).distinct()
-            prior = spark.read.option("mergeSchema", "true").parquet(path)
-            prior = prior.join(touched, LAYOUT, "left_semi")
-            merged = union_by_offset(prior, new, delivery)
+            prior = spark.read.schema(known).parquet(path).join(touched, LAYOUT, "left_semi")
         else:
-            merged = union_by_offset(new.limit(0), new, delivery)
+            prior = spark.createDataFrame([], own)
+        if known is None or schema.json() != known.json():
+            Store(spark, path).write(_SCHEMA, schema.json())
+        merged = conform(union_by_offset(conform(prior, schema), new, delivery), schema)
         # The result reads what it replaces: it is written aside first.
-        merged = merged.drop(*(delivery or []))
         aside = f"{path.rstrip('/')}.new"
         merged.write.mode("overwrite").option("compression", "zstd").parquet(aside)
         (
-            spark.read.parquet(aside)
+            spark.read.schema(schema)
+            .parquet(aside)
             .repartition(*(F.col(c) for c in LAYOUT))
             .sortWithinPartitions(*LAYOUT, "_kafka_offset")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .option("parquet.compression.codec.zstd.level", "3")
+            .options(**WRITER, partitionOverwriteMode="dynamic")
             .partitionBy(*LAYOUT)
             .parquet(path)
         )
@@ -66,27 +95,40 @@ def drop_day(spark: SparkSession, path: str, day: str) -> None:
     remove(spark, f"{path.rstrip('/')}/_ingested_date={day}")
 
 
-def day_checksums(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+def day_checksums(spark: SparkSession, path: str, day: str | None = None, portable: bool = False) -> DataFrame:
     """Content fingerprint of each directory of the layout; equal for equal rows however files were cut."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = read_table(spark, path)
     if day is not None:
         df = df.filter(F.col("_ingested_date") == F.lit(day).cast("date"))
-    return fingerprint(df, LAYOUT)
+    return fingerprint(df, LAYOUT, portable=portable)
+
+
+def batch_id(batch: DataFrame) -> str:
+    """A name for a batch of broker records: the same records in any order, as a retry gives them, have the same one."""
+    total = F.sum(F.xxhash64("topic", "partition", "offset").cast("decimal(38,0)"))
+    n, mark = batch.agg(F.count("*"), F.coalesce(total, F.lit(0))).first()
+    return f"{n}.{mark}"
 
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    rows.withColumn("_ingested_date", F.to_date("detected_at")).write.mode("append").partitionBy("_ingested_date").json(path)
+def append_audit(rows: DataFrame, path: str, batch: str = "0") -> None:
+    """Keep audit rows under their day and the name of their batch; a batch that is run again replaces its own."""
+    by = rows.withColumn("_ingested_date", F.to_date("detected_at")).withColumn("_batch", F.lit(batch))
+    by.write.mode("overwrite").options(partitionOverwriteMode="dynamic", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").partitionBy("_batch", "_ingested_date").json(path)
 
 
-def dead_records(bad: DataFrame, path: str) -> None:
-    """Keep events that could not be read, with the reason and where they came from."""
-    bad.select(F.col("value").cast("string").alias("value"), "reason", "topic", "partition", "offset").write.mode("append").json(path)
+def dead_records(bad: DataFrame, path: str, batch: str = "0") -> None:
+    """Keep events that could not be read, with the reason and where they came from; a batch that is run again replaces its own."""
+    bad.select(F.col("value").cast("string").alias("value"), "reason", "topic", "partition", "offset").write.mode("overwrite").json(f"{path}/_batch={batch}")
 
 
-def dead_batch(batch: DataFrame, reason: str, path: str, sample: int = 5) -> None:
-    """Keep a batch that its schema rejects, whole, beside a summary of its count and offsets with a few of its rows."""
-    batch.write.mode("append").json(f"{path}/rows")
-    rows = [r["v"] for r in batch.select(F.to_json(F.struct("*")).alias("v")).orderBy("v").limit(sample).collect()]
-    batch.agg(F.count("*").alias("n"), F.min("_kafka_offset").alias("first_offset"), F.max("_kafka_offset").alias("last_offset")).withColumn("reason", F.lit(reason)).withColumn(
-        "sample", F.array(*(F.lit(r) for r in rows)) if rows else F.lit(None).cast("array<string>")
-    ).write.mode("append").json(f"{path}/batches")
+def dead_batch(rows: DataFrame, reason: str, path: str, batch: str = "0", sample: int = 5) -> None:
+    """Keep a batch that its schema rejects, whole, beside a summary of its count and offsets with a few of its rows.
+
+    A batch that is run again replaces its own. ``_row`` may hold the rows' JSON objects, which are kept as text.
+    """
+    text = rows.withColumn("_row", F.to_json("_row")) if "_row" in rows.columns else rows
+    text.write.mode("overwrite").json(f"{path}/rows/_batch={batch}")
+    kept = [r["v"] for r in text.select(F.to_json(F.struct("*")).alias("v")).orderBy("v").limit(sample).collect()]
+    text.agg(F.count("*").alias("n"), F.min("_kafka_offset").alias("first_offset"), F.max("_kafka_offset").alias("last_offset")).withColumn("reason", F.lit(reason)).withColumn(
+        "sample", F.array(*(F.lit(r) for r in kept)) if kept else F.lit(None).cast("array<string>")
+    ).write.mode("overwrite").json(f"{path}/batches/_batch={batch}")

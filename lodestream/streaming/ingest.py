@@ -7,7 +7,6 @@ written, and the failure keeps the checkpoint where it was.
 
 from __future__ import annotations
 
-import json
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,57 +14,77 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from lodestream.operators.changelog import META, parse_changes, unparseable
-from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, conform
+from lodestream.operators.changelog import META, parse_events, typed, unparseable
+from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, batch_shape, classify
 from lodestream.schema import struct
-from lodestream.sources.sinks import append_audit, dead_batch, dead_records, write_batch
+from lodestream.sources.sinks import append_audit, batch_id, dead_batch, dead_records, write_batch
 
 #: What a source must give: the columns of a message broker.
 RECORD = struct("value string, topic string, partition int, offset long, timestamp timestamp")
 FLUSH_RECORDS, FLUSH_SECONDS = 50_000, 60
 
 
+#: What a source may add: the order of delivery within a batch, any comparable value.
+DELIVERY = "_delivery"
+
+
 def kafka(spark: SparkSession, servers: str, topic: str, per_trigger: int = FLUSH_RECORDS) -> DataFrame:
-    """Change events of one topic from its earliest offset; needs the connector on the class path."""
+    """Change events of one topic from its earliest offset; needs the connector on the class path. A broker gives each offset once a batch."""
     stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     stream = stream.option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_trigger).load()
     return stream.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset", "timestamp")
 
 
 def files(spark: SparkSession, path: str, per_trigger: int = 1000) -> DataFrame:
-    """Change events from JSON files of RECORD rows."""
-    return spark.readStream.schema(RECORD).option("maxFilesPerTrigger", per_trigger).json(path)
+    """Change events from JSON files of RECORD rows; later files, and later rows of a file, are later deliveries."""
+    stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", per_trigger).json(path)
+    return stream.select(*RECORD.names, F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start").alias(DELIVERY))
+
+
+def numbered(batch: DataFrame) -> DataFrame:
+    """A micro-batch with its rows' order of delivery: by the source's own, or else the broker's time, then by position within what a task reads in order."""
+    return batch.withColumn(DELIVERY, F.struct(DELIVERY if DELIVERY in batch.columns else "timestamp", F.monotonically_increasing_id().alias("row")))
+
 
+def handle(batch: DataFrame, table: str, payload: T.StructType | None, registry: Registry, root: str) -> DataFrame | None:
+    """One micro-batch: bad records aside, the rest guarded by the shape of its own rows, conformed and merged. Returns the rows, or None for an empty batch.
 
-def handle(batch: DataFrame, table: str, payload: T.StructType, registry: Registry, root: str) -> DataFrame | None:
-    """One micro-batch: bad records aside, the rest guarded, conformed and merged. Returns the rows' keys, or None for an empty batch."""
-    spark = batch.sparkSession
+    ``payload`` is the schema of a table that is not registered yet; without one, the first batch's own shape is registered.
+    All that is written bears the batch's name or the rows' offsets, so a batch that is run again changes nothing.
+    """
+    spark, name = batch.sparkSession, batch_id(batch)
     bad = unparseable(batch)
     if not bad.isEmpty():
-        dead_records(bad, f"{root}/_dead/{table}/records")
-    rows = parse_changes(batch, payload).filter(F.col("_table") == table).drop("_table")
+        dead_records(bad, f"{root}/_dead/{table}/records", name)
+    rows = parse_events(batch).filter(F.col("_table") == table).drop("_table")
     if rows.isEmpty():
         return None
-    verdict = registry.inspect(table, T.StructType([f for f in rows.schema if f.name not in META.names]))
+    if payload is not None and registry.known(table) is None:
+        registry.settle(classify(table, None, payload))
+    verdict = registry.check(table, batch_shape(rows, registry.known(table)))
+    # The audit comes before the registry: a crash between the two repeats the audit's rows under the same name.
     if verdict.differences:
-        append_audit(audit_rows(spark, verdict, datetime.now(UTC).replace(tzinfo=None)), f"{root}/_audit")
+        append_audit(audit_rows(spark, verdict, datetime.now(UTC).replace(tzinfo=None)), f"{root}/_audit", f"{table}.{name}")
+    if not verdict.accepted:
+        dead_batch(rows, str(IncompatibleSchema(verdict)), f"{root}/_dead/{table}/rejected", name)
+    registry.settle(verdict)
     if not verdict.accepted:
-        dead_batch(rows, str(IncompatibleSchema(verdict)), f"{root}/_dead/{table}/rejected")
         raise IncompatibleSchema(verdict)
-    whole = T.StructType([*verdict.merged.fields, *META.fields])
-    # Of one offset's copies in a batch the last delivered wins; without a delivery number, equal copies are equal.
-    write_batch(conform(rows, whole), f"{root}/{table}")
-    return rows
+    whole = typed(rows, verdict.merged)
+    # Of one offset's copies in a batch the last delivered wins.
+    order = [DELIVERY] if DELIVERY in whole.columns else []
+    write_batch(whole.select(*verdict.merged.names, *META.names, *order), f"{root}/{table}", order)
+    return whole
 
 
-def ingest(source: DataFrame, table: str, payload: T.StructType, registry: Registry, root: str, checkpoint: str, once: bool = False, touched: str | None = None, key: str = "id") -> StreamingQuery:
+def ingest(source: DataFrame, table: str, payload: T.StructType | None, registry: Registry, root: str, checkpoint: str, once: bool = False, touched: str | None = None, key: str = "id") -> StreamingQuery:
     """Start the table's query. ``once`` drains what is there and stops; ``touched`` names a folder for each batch's keys."""
     if registry.halted(table):
         raise RuntimeError(f"{table} is halted; resume it first")
 
     def flush(batch: DataFrame, number: int) -> None:
         # Several actions read the batch; kept, it is read from its source once.
-        batch.persist()
+        batch = numbered(batch).persist()
         try:
             rows = handle(batch, table, payload, registry, root)
             if rows is not None and touched is not None:
@@ -83,26 +102,36 @@ def dedupe_in_flight(stream: DataFrame, within: str = "1 hour") -> DataFrame:
 
 
 class Progress(StreamingQueryListener):
-    """Rows, lag and time of the last flush of each query, from its progress events."""
+    """Rows, lag and time of the last flush of each query, from its progress events, and the failure of a query that ended with one."""
 
     def __init__(self):
         self.latest: dict[str, dict] = {}
+        self._names: dict[str, str] = {}
+
+    def _state(self, name: str) -> dict:
+        return self.latest.setdefault(name, {"rows": 0, "lag": None, "at": None, "failed": None})
 
     def onQueryStarted(self, event) -> None:
-        self.latest.setdefault(event.name, {"rows": 0, "lag": None, "at": None, "failed": None})
+        self._names[str(event.id)] = event.name
+        self._state(event.name)["failed"] = None
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        state = self.latest.setdefault(p.name, {"rows": 0, "lag": None, "at": None, "failed": None})
+        state = self._state(p.name)
         state["rows"] += p.numInputRows
         state["at"] = p.timestamp
-        lags = [json.loads(json.dumps(s.metrics or {})).get("maxOffsetsBehindLatest") for s in p.sources]
-        known = [int(x) for x in lags if x is not None]
+        known = [int(x) for x in ((s.metrics or {}).get("maxOffsetsBehindLatest") for s in p.sources) if x is not None]
         state["lag"] = max(known) if known else state["lag"]
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        for state in self.latest.values():
-            state["failed"] = event.exception or state["failed"]
+        name = self._names.get(str(event.id))
+        if name is not None and event.exception:
+            self._state(name)["failed"] = event.exception
+
+
+def records_by_op(raw: DataFrame) -> DataFrame:
+    """(op, records, last_flush) of a raw table: what was ingested of each operation, and when the newest of it came."""
+    return raw.groupBy(F.col("_op").alias("op")).agg(F.count("*").alias("records"), F.max("_ingested_at").alias("last_flush"))

@@ -109,29 +109,6 @@ def test_schema_guard(spark, tmp_path):
     assert registry.inspect("t", new).accepted and registry.known("t").simpleString().startswith("struct<id:string,x:bigint")
 
 
-def test_stream_halts_on_incompatible_schema(spark, tmp_path):
-    from lodestream.streaming.ingest import files, ingest
-
-    configured(spark)
-    root = str(tmp_path)
-    value = '{"op":"c","after":{"id":1,"x":"z"},"source":{"table":"t","lsn":1,"ts_ms":1}}'
-    spark.createDataFrame([(value, "a.t", 0, 0, AT), (None, "a.t", 0, 1, AT), ("{", "a.t", 0, 2, AT)], "value string, topic string, partition int, offset long, timestamp timestamp").write.json(f"{root}/in")
-    registry = Registry(spark, f"{root}/reg")
-    registry.inspect("t", T.StructType.fromDDL("id long, x int"))
-    run = lambda ddl: ingest(files(spark, f"{root}/in"), "t", T.StructType.fromDDL(ddl), registry, f"{root}/raw", f"{root}/cp", once=True, touched=f"{root}/keys")
-    with pytest.raises(Exception, match="x int -> string"):
-        run("id long, x string").awaitTermination()
-    assert spark.read.json(f"{root}/raw/_dead/t/rejected/rows").count() == 1
-    assert raw.audit(spark, f"{root}/raw/_audit").filter("change = 'incompatible'").count() == 1
-    with pytest.raises(RuntimeError):
-        run("id long, x int")
-    registry.resume("t")
-    run("id long, x int").awaitTermination()
-    assert one(spark.read.parquet(f"{root}/raw/t").select("id", "x")) == [(1, None)]
-    assert one(spark.read.parquet(f"{root}/keys")) == [(1, 0)]
-    assert spark.read.json(f"{root}/raw/_dead/t/records").count() >= 1
-
-
 def test_scalars(spark):
     df = spark.createDataFrame([(" Paid ", date(2025, 1, 31), date(2025, 2, 1), 100, "EUR", 0.0)], "s string, a date, b date, c long, ccy string, r double")
     row = df.select(
@@ -332,14 +309,95 @@ def test_bulk_rows_rank_below_changes_and_number_without_gaps(spark):
     assert changelog.latest(tagged.unionByName(newer), "id").filter("_op = 'u'").count() == 1
 
 
-def test_deliveries_in_flight_are_dropped(spark, tmp_path):
-    from lodestream.streaming.ingest import Progress, dedupe_in_flight, files
+def test_load_replaces_only_touched_partitions(spark, tmp_path):
+    """Days without a key of the batch keep their files; a key that moves to another day leaves its old one."""
+    import glob
+    import os
+
+    path = str(tmp_path / "fct")
+    row = lambda *xs: spark.createDataFrame(xs, "k string, day date, v int")
+    days = [date(2025, 1, d) for d in (1, 2, 3)]
+    incremental.load(spark, path, lambda t: row(("a", days[0], 1), ("b", days[1], 1), ("c", days[2], 1), ("n", None, 1)), "k", "full", partition_by="day")
+    untouched = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/day=2025-01-03/*.parquet")}
+    before = untouched()
+    for _ in range(2):
+        out = incremental.load(spark, path, lambda t: row(("a", days[1], 2), ("d", days[1], 2), ("n", days[0], 2)), "k", partition_by="day")
+        assert sorted(one(out.select("k", "day", "v"))) == [("a", days[1], 2), ("b", days[1], 1), ("c", days[2], 1), ("d", days[1], 2), ("n", days[0], 2)]
+    assert untouched() == before and len(before) == 1
+    assert not os.path.exists(f"{path}/day=__HIVE_DEFAULT_PARTITION__") and sorted(os.listdir(tmp_path)) == ["fct"]
+
+
+def test_a_swap_that_ended_halfway_is_undone(spark, tmp_path):
+    path = str(tmp_path / "fct")
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    incremental.load(spark, path, lambda t: df, "k", "full")
+    (tmp_path / "fct").rename(tmp_path / "fct.old")
+    out = incremental.load(spark, path, lambda t: spark.createDataFrame([("b", 2)], "k string, v int"), "k")
+    assert sorted(one(out)) == [("a", 1), ("b", 2)]
+
+
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_asof_join_against_every_pair(spark, grain):
+    """Open, empty and overlapping versions, facts before and long after all of them, and null keys and times."""
+    import random
+
+    rng, base = random.Random(4), datetime(2024, 1, 1)
+    from datetime import timedelta
+
+    at = lambda: base + timedelta(hours=rng.randint(0, 20_000))
+    facts = [(i, rng.choice(["x", "y", None]), rng.choice([at(), None, base - timedelta(days=400), base + timedelta(days=4000)])) for i in range(200)]
+    versions = []
+    for n in range(40):
+        begin = at()
+        versions.append((rng.choice(["x", "y", "z", None]), n, begin, rng.choice([None, begin, begin + timedelta(days=rng.randint(1, 300))])))
+    out = joins.asof_join(spark.createDataFrame(facts, "i long, k string, t timestamp"), spark.createDataFrame(versions, "k string, n int, valid_from timestamp, valid_to timestamp"), "k", "t", columns=["n"], grain=grain)
+    want = []
+    for i, k, t in facts:
+        met = [n for key, n, a, b in versions if k is not None and key == k and t is not None and a <= t and (b is None or t < b)]
+        want += [(i, n) for n in met] or [(i, None)]
+    assert sorted(one(out.select("i", "n")), key=repr) == sorted(want, key=repr) and out.columns == ["i", "k", "t", "n"]
+
+
+def test_raw_table_after_a_widening(spark, tmp_path):
+    """An accepted widening leaves the table whole: it is read, fingerprinted and written again, across two days and with columns that one batch lacks."""
+    configured(spark)
+    path, schema = str(tmp_path / "raw"), "_op string, _lsn long, _kafka_offset long, _kafka_partition int, _ingested_at timestamp, _source_ts timestamp"
+    land = lambda cols, *rows: sinks.write_batch(spark.createDataFrame(rows, f"{cols}, {schema}"), path)
+    land("id string, x int", ("a", 1, "c", 1, 0, 0, AT, None))
+    land("id string, x long, channel string", ("b", 1 << 40, "web", "c", 2, 1, 0, datetime(2025, 3, 2), None))
+    land("id string, x int", ("a", 7, "u", 3, 0, 0, AT, None), ("c", 3, "c", 4, 2, 0, AT, None))
+    assert sorted(one(sinks.read_table(spark, path).select("id", "x", "channel"))) == [("a", 7, None), ("b", 1 << 40, "web"), ("c", 3, None)]
+    assert sinks.day_checksums(spark, path).count() == 2 and sinks.day_checksums(spark, path, "2025-03-02").count() == 1
+    with pytest.raises(IncompatibleSchema):
+        land("id string, x string", ("d", "z", "c", 5, 3, 0, AT, None))
+
 
-    rows = [("{}", "t", 0, k % 3, AT) for k in range(9)]
-    spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp timestamp").write.json(str(tmp_path / "in"))
-    seen = Progress()
-    spark.streams.addListener(seen)
-    out = dedupe_in_flight(files(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("flight").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    out.awaitTermination()
-    spark.streams.removeListener(seen)
-    assert spark.table("flight").count() == 3
+def test_files_of_a_raw_table(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    configured(spark)
+    path = str(tmp_path / "raw")
+    sinks.write_batch(batch(spark, 90), path)
+    (f, *_) = glob.glob(f"{path}/*/*/*/*.parquet")
+    meta = pq.ParquetFile(f).metadata
+    column = next(c for c in (meta.row_group(0).column(k) for k in range(meta.num_columns)) if c.path_in_schema == "_op")
+    assert column.compression == "ZSTD" and any("DICTIONARY" in e for e in column.encodings)
+
+
+def test_registry_keeps_the_old_schema_until_the_new_one_is_whole(spark, tmp_path):
+    from lodestream.sources.store import Store
+
+    store = Store(spark, str(tmp_path / "s"))
+    assert store.read("t") is None
+    store.write("t", "one")
+    # A crash before the rename leaves a file aside, one after it leaves two versions.
+    (tmp_path / "s" / ".t.new").write_text("half")
+    assert store.read("t") == "one"
+    (tmp_path / "s" / "_t.2").write_text("two")
+    assert store.read("t") == "two"
+    store.write("t", "three é")
+    assert store.read("t") == "three é" and sorted(p.name for p in (tmp_path / "s").glob("_t.*")) == ["_t.3"]
+    store.remove("t")
+    assert store.read("t") is None

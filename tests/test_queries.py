@@ -39,12 +39,6 @@ def test_query_matches_sql(spark, smallest, duck, name):
     assert rows(ours.columns, [tuple(r) for r in ours.collect()]) == rows(theirs.columns, theirs.fetchall())
 
 
-@pytest.mark.parametrize("name", ["backfill_proof", "stream_ingest_replay"])
-def test_proofs_hold(spark, smallest, name):
-    found = commerce.QUERIES[name](spark, smallest).collect()
-    assert found and all(r["same"] for r in found)
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() > 1000
 
@@ -53,6 +47,5 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_dead_letters_and_rest(spark, smallest):
-    n = {r["outcome"]: r["n"] for r in commerce.QUERIES["dlq_split"](spark, smallest).collect()}
-    assert n["dead"] > 0 and n["parsed"] + n["dead"] < n["all"]
+def test_every_query_of_this_part_has_a_twin():
+    assert set(commerce.ORACLE_SQL) == set(commerce.QUERIES)
