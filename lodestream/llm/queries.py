@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestream.llm import audio, bpe, embeddings, lattice_lm, mixing, secret_scan, sharding, simhash, token_counts, toxicity
 from lodestream.llm.shared import table
@@ -24,7 +25,8 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "size", "source_size", "target", (mixed["size"] * mixed["copies"]).alias("taken"), "copies")
+    # A row is taken once for each shard that it is dealt to.
+    return mixed.select("doc_id", "size", "source_size", "target", (mixed["size"] * F.size("shards")).alias("taken"), "shards")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,32 +165,69 @@ def test_targets_fill_up():
     assert mixing.targets([], []) == [] and mixing.targets([0, 5], [5, 2]) == [0, 5]
 
 
-def test_split_quotas_exactly():
-    quotas = np.array([17, 0, 5, 100])
-    out = mixing.split_quotas(quotas, 7, 1)
-    assert (out.sum(axis=1) == quotas).all() and out.min() >= 0 and np.ptp(out.sum(axis=0)) <= 1
-    assert (mixing.split_quotas(quotas, 7, 1) == out).all()
-
-
-def test_mix(spark, documents, edge, monkeypatch):
-    monkeypatch.setattr(mixing, "SHARD_WORDS", 5000)
+def test_splitting_tree_deals_exact_quotas():
+    quotas, shards = np.array([17, 0, 5, 100]), 7
+    at = [mixing.shards_at(quotas, shards, k, 0, int(q), 1) for k, q in enumerate(quotas)]
+    out = np.stack([np.bincount(x, minlength=shards) for x in at])
+    assert (out.sum(axis=1) == quotas).all() and np.ptp(out.sum(axis=0)) <= 1 and all((np.diff(x) >= 0).all() for x in at)
+    # Any run of places is the same wherever the walk begins.
+    assert all((mixing.shards_at(quotas, shards, 3, a, b, 1) == at[3][a:b]).all() for a, b in ((0, 1), (13, 60), (99, 100), (40, 40)))
+    # Over many seeds a source's draws in a shard have the mean and the spread of the hypergeometric law.
+    n = np.array([np.bincount(mixing.shards_at(np.array([30, 70]), 4, 0, 0, 30, s), minlength=4)[2] for s in range(3000)])
+    assert abs(n.mean() - 7.5) < 0.1 and abs(n.var() - 25 * 0.3 * 0.7 * 75 / 99) < 0.3
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4097])
+def test_permutation_of_draws(n):
+    out = mixing.permuted(np.arange(n), n, (1, 0, 2))
+    assert sorted(out.tolist()) == list(range(n))
+    if n == 4097:
+        assert (out != mixing.permuted(np.arange(n), n, (1, 0, 3))).any() and len(set(np.diff(out).tolist())) > 1000
+
+
+def test_mix(spark, documents, edge):
+    sizes = mixing.Sizes(block_words=500, shard_words=5000)
     docs = documents.select("doc_id", "text", "source").withColumn("size", F.lit(1))
-    rows = mixing.mix(docs).collect()
+    rows = mixing.mix(docs, sizes=sizes).collect()
     by = defaultdict(list)
     for r in rows:
         by[r["source"]].append(r)
     names = sorted(by)
-    sizes = [sum(len((r["text"] or "").encode().split()) for r in by[s]) for s in names]
-    want = mixing.targets(sizes, [mixing.WEIGHTS[k % 3] for k in range(len(names))])
-    for s, size, target in zip(names, sizes, want, strict=True):
+    lengths = [sum(len((r["text"] or "").encode().split()) for r in by[s]) for s in names]
+    want = mixing.targets(lengths, [mixing.WEIGHTS[k % 3] for k in range(len(names))])
+    for s, size, target in zip(names, lengths, want, strict=True):
         taken = sum(r["size"] * r["copies"] for r in by[s])
         assert all(r["source_size"] == size and r["target"] == pytest.approx(target) for r in by[s])
         assert abs(taken - target) <= max(r["size"] for r in by[s]) / 2 + 1
-    assert all(len(r["shards"]) == r["copies"] <= 3 for r in rows) and len({k for r in rows for k in r["shards"]}) > 3
-    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(docs.repartition(3)).collect()))
+    assert all(len(r["shards"]) == r["copies"] <= 3 for r in rows)
+    held = Counter()
+    for r in rows:
+        for k in r["shards"]:
+            held[k] += r["size"]
+    shards = -(-sum(lengths) // 5000)
+    # Shards get equal numbers of draws, so their words differ by what blocks do.
+    assert set(held) == set(range(shards)) and max(held.values()) < 3 * sum(lengths) / shards
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(docs.repartition(3), sizes=sizes).collect()))
     mixed = mixing.mixed_rows(edge)
     assert mixed.columns == edge.columns and mixed.count() == sum(r["copies"] for r in mixing.mix(edge).collect())
-    assert mixing.mix(edge).count() == edge.count() and mixing.mixed_rows(edge.limit(0)).count() == 0
+    assert mixing.mix(edge).count() == edge.count() and mixing.mixed_rows(edge.limit(0)).count() == 0 and mixing.mix(edge.limit(0)).count() == 0
+
+
+def test_shards_hold_disjoint_draws_of_their_quotas(spark):
+    plans = [mixing.SourcePlan("a", 0, 900, 2400.0, 30, 2, 20, ()), mixing.SourcePlan("b", 1, 10, 5.0, 7, 0, 3, (5,)), mixing.SourcePlan(None, 2, 0, 0.0, 1, 0, 0, ())]
+    rows = mixing.dealt(spark, plans, 6, 3).collect()
+    want = {(0, b): 2 + (b < 20) for b in range(30)} | {(1, b): 1 for b in range(4)}
+    assert {(r["index"], r["block"]): len(r["shards"]) for r in rows} == want
+    for k, p in enumerate(plans):
+        places = mixing.shards_at(np.array([p.draws for p in plans]), 6, k, 0, p.draws, 3)
+        assert Counter(x for r in rows if r["index"] == k for x in r["shards"]) == Counter(places.tolist())
+
+
+def test_wordless_rows_come_no_more_often_than_the_cap(spark):
+    docs = spark.createDataFrame([(i, "w " * 50 if i < 3 else " ", "a" if i < 3 or i > 500 else "b") for i in range(1000)], "doc_id long, text string, source string")
+    docs = docs.unionByName(docs.filter("doc_id < 2").selectExpr("doc_id + 5000 AS doc_id", "repeat('w ', 500) AS text", "'c' AS source"))
+    rows = mixing.mix(docs, sizes=mixing.Sizes(block_words=8, block_rows=4)).collect()
+    assert max(r["copies"] for r in rows) <= 3 and sum(r["copies"] for r in rows if r["source"] == "b") == 0
 
 
 def tune(notes, rate=4000, n=512):
