@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lodestream.llm.shared import texts_in
+from lodestream.llm.shared import texts_in, trimmed
 
 #: Fixed value: the split rule of this family of vocabularies, with white space by its Unicode property.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -227,6 +227,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "input_ids
     added = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(proof, T.BooleanType())] if proof else [])]
     schema = T.StructType([docs.schema[c] for c in kept] + added)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
@@ -246,6 +247,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "input_ids", out: str = "de
     kept = [c for c in encoded.columns if c != out]
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
@@ -265,6 +267,7 @@ def round_trip_digests(docs: DataFrame, path: str, text: str = "text", key: str
         [docs.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     )
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:

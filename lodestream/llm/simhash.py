@@ -11,18 +11,19 @@ are compared exactly.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestream.llm.components import chunk_pairs, components, forest, whole_runs
-from lodestream.llm.shared import texts_in, written
+from lodestream.llm.shared import arrow_column, texts_of, written
 
 #: Fixed value: the generator polynomial of the binary Golay code of length 23.
 GENERATOR = 0b110001110101
@@ -144,8 +145,25 @@ def _bucket_links(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.
     return forest(distinct, place[np.concatenate(left)], place[np.concatenate(right)])
 
 
+#: Six pieces of a fingerprint: of four differing bits, two pieces at least hold none, so linked fingerprints agree in one of the fifteen pairs.
+PIECES = tuple((k * 64 // 6, (k + 1) * 64 // 6 - k * 64 // 6) for k in range(6))
+
+
+def piece_keys(key: np.ndarray, prints: np.ndarray) -> Iterator[np.ndarray]:
+    """For each pair of pieces, a number of the bucket ``key`` and what the fingerprints hold in the pair; unlike ones may share a number."""
+    parts = [prints >> np.uint64(at) & np.uint64((1 << n) - 1) for at, n in PIECES]
+    for number, (i, j) in enumerate(itertools.combinations(range(len(PIECES)), 2)):
+        with np.errstate(over="ignore"):
+            h = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (parts[i] << np.uint64(32) | parts[j] << np.uint64(8) | np.uint64(number))) * np.uint64(0xD6E8FEB86659FD93)
+            yield (h ^ h >> np.uint64(31)).view(np.int64)
+
+
 def print_links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) links that span the components of the distinct fingerprints in ``distinct.print`` (long, read as unsigned)."""
+    """(a, b) links that span the components of the distinct fingerprints in ``distinct.print`` (long, read as unsigned).
+
+    Keys hold 24 bits, so their buckets grow with the table. One with more than ``bucket`` fingerprints is dealt out again by
+    pairs of pieces, which is exact too; what is still larger is compared chunk by chunk.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +171,15 @@ def print_links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
             for k in range(0, len(prints), 4096):
                 part = prints[k : k + 4096]
                 keys, rows = golay_keys(part.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(part[rows])], names=["key", "print"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(part[rows])], names=["key", "print"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, prints = batch.column("key").to_numpy(), batch.column("print").to_numpy()
+            for k in range(0, len(prints), 1 << 16):
+                part = prints[k : k + (1 << 16)]
+                for own in piece_keys(keys[k : k + (1 << 16)], part.view(np.uint64)):
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(part)], names=["key", "print"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, chunk in whole_runs(batches, "key", bucket):
@@ -162,21 +188,46 @@ def print_links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(prints), pa.nulls(len(prints), pa.int64()), rows.column("key"), pa.array(chunk)], names=["a", "b", "key", "chunk"])
                 continue
             a, b = _bucket_links(keys, prints.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int64())], names=["a", "b", "key", "chunk"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64())], names=["a", "b", "key", "chunk"])
+
+    def compared(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links within the buckets of (key, print), and the rows of those that are too large."""
+        sorted_ = keys.repartition("key").sortWithinPartitions("key")
+        found = written(sorted_.mapInArrow(compare, "a long, b long, key long, chunk long"), "print-links")
+        return found.filter("b is not null").select("a", "b"), found.filter("b is null").select("key", F.col("a").alias("print"), "chunk")
 
-    keys = distinct.select("print").mapInArrow(keyed, "key int, print long").repartition("key").sortWithinPartitions("key")
-    found = written(keys.mapInArrow(compare, "a long, b long, key int, chunk long"), "print-links")
-    links = found.filter("b is not null").select("a", "b")
-    large = found.filter("b is null").select(F.col("a").alias("print"), "key", "chunk")
+    links, large = compared(distinct.select("print").mapInArrow(keyed, "key long, print long"))
     if large.isEmpty():
         return links
+    more, crowded = compared(large.select("key", "print").mapInArrow(again, "key long, print long"))
+    links = links.union(more)
+    if crowded.isEmpty():
+        return links
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
         prints = np.unique(rows["print"].to_numpy())
         a, b = forest(prints, *_linked(prints.view(np.uint64)))
         return pd.DataFrame({"a": a, "b": b})
 
-    return links.union(chunk_pairs(large, "key").groupBy("key", "lo", "hi").applyInPandas(cell, "a long, b long"))
+    return links.union(chunk_pairs(crowded, "key").groupBy("key", "lo", "hi").applyInPandas(cell, "a long, b long"))
+
+
+def _printed(docs: DataFrame, shingle: int, text: str) -> Column:
+    """The fingerprint of ``docs[text]`` as a long; only the text goes to Python."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            prints = [fingerprint(t, shingle) for texts in texts_of(column) for t in texts]
+            yield pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+
+    return arrow_column(run, "long")(docs[text])
+
+
+def _groups(prints: DataFrame, bucket: int) -> DataFrame:
+    """(print, group) of all distinct fingerprints: group is the smallest fingerprint, as a signed number, that links reach."""
+    distinct = written(prints.select("print").distinct(), "distinct-prints")
+    label = written(components(print_links(distinct, bucket)), "print-labels").select(F.col("node").alias("print"), F.col("label").alias("_label"))
+    return written(distinct.join(label, "print", "left").select("print", F.coalesce("_label", "print").alias("group")), "print-groups")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
@@ -187,29 +238,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text
     component_id is null only where no row of the component has a key. Repeated rows give repeated results; an empty
     table gives an empty one. Other columns are not read. Rows of equal fingerprint are one node, so copies are not paired.
     """
-    schema = T.StructType([docs.schema[key], T.StructField("print", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, texts in texts_in(batch, text):
-                prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.slice(start, len(texts)).column(key), pa.array(prints)], names=schema.names)
-
-    prints = written(docs.select(key, text).mapInArrow(run, schema), "prints")
-    distinct = written(prints.groupBy("print").agg(F.min(key).alias("first")), "distinct-prints")
-    label = written(components(print_links(distinct, bucket)), "print-labels")
-    named = written(label.join(distinct, label["node"] == distinct["print"]).groupBy("label").agg(F.min("first").alias("least")), "print-components")
-    reached = label.join(named, "label").select(F.col("node").alias("print"), "least")
-    component = written(distinct.join(reached, "print", "left").select("print", F.coalesce("least", "first").alias("component_id")), "print-component")
+    prints = written(docs.select(F.col(key), _printed(docs, shingle, text).alias("print")), "prints")
+    groups = _groups(prints, bucket)
+    # The least key of each fingerprint first, so that copies are reduced before they meet their group.
+    first = prints.groupBy("print").agg(F.min(key).alias("_first")).join(groups, "print")
+    least = written(first.groupBy("group").agg(F.min("_first").alias("component_id")), "print-components")
+    component = written(groups.join(least, "group").select("print", "component_id"), "print-component")
     return prints.join(component, "print").select(key, F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest key, once.
+def keep_one(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the row with the smallest key, once; a row with a key comes before one without.
 
-    Rows without a key stay once for each text, whatever they link to. Columns of any names are kept.
+    Of rows with one key, or none, the smallest hash of the text decides, then that of the whole row; rows that are equal in
+    all columns are one. So two unlike texts under one key both stay, if nothing else stands for them. Null and wordless
+    texts are one component. Columns of any names are kept; an empty table gives an empty one.
     """
-    found = near_duplicates(docs, shingle, key, text)
-    stay = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_stays")).distinct()
-    kept = docs.join(stay.filter("_stays is not null"), docs[key] == stay["_stays"], "left_semi")
-    return kept.dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()).dropDuplicates([text]))
+    flat = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f"`{f.name}`") for f in docs.schema]
+    # Hashes tell a null from an empty value by place, so a row's own hash stands for all its columns.
+    marks = [F.xxhash64(text).alias("_text_hash"), F.xxhash64(*flat, *(c.isNull() for c in flat)).alias("_row_hash")]
+    rows = written(docs.select(F.col(key).alias("_key"), *marks, _printed(docs, shingle, text).alias("print")), "prints")
+    order = F.struct(F.col("_key").isNull(), F.col("_key"), F.col("_text_hash"), F.col("_row_hash"))
+    best = rows.groupBy("print").agg(F.min(order).alias("_best")).join(_groups(rows, bucket), "print").groupBy("group").agg(F.min("_best").alias("_best"))
+    stay = best.select(F.col("_best._key").alias("_key"), F.col("_best._text_hash").alias("_text_hash"), F.col("_best._row_hash").alias("_row_hash"))
+    met = rows.join(stay.withColumnsRenamed({"_key": "_k", "_text_hash": "_t", "_row_hash": "_r"}), (F.col("_text_hash") == F.col("_t")) & (F.col("_row_hash") == F.col("_r")) & F.col("_key").eqNullSafe(F.col("_k")))
+    stay = written(met.groupBy("_k", "_t", "_r").agg((F.count("*") > 1).alias("_repeats")), "prints-that-stay")
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).alias("_key"), *marks)
+    same = (F.col("_text_hash") == F.col("_t")) & (F.col("_row_hash") == F.col("_r")) & F.col("_key").eqNullSafe(F.col("_k"))
+    of = lambda repeats: packed.join(stay.filter("_repeats" if repeats else "not _repeats"), same, "left_semi")
+    # Only rows that are there more than once must meet to become one.
+    once = of(True).groupBy("_key", "_text_hash", "_row_hash").agg(F.first("_row").alias("_row")).select("_row.*")
+    return of(False).select("_row.*").union(once)

@@ -79,14 +79,40 @@ def test_simhash_chain_and_crowd(spark):
     check_simhash(rows, simhash.near_duplicates(docs, bucket=3).collect())
 
 
+def test_linked_prints_share_a_pair_of_pieces():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    y = x.copy()
+    for k in range(len(y)):
+        for b in rng.choice(64, 4, replace=False):
+            y[k] ^= np.uint64(1) << np.uint64(b)
+    key = rng.integers(0, 100, 2000)
+    shared = np.zeros(2000, dtype=bool)
+    for a, b in zip(simhash.piece_keys(key, x), simhash.piece_keys(key, y), strict=True):
+        shared |= a == b
+    assert shared.all() and sum(n for _, n in simhash.PIECES) == 64
+
+
 def test_keep_one(edge):
     kept = simhash.keep_one(edge)
     assert kept.columns == edge.columns
-    found = simhash.near_duplicates(edge).filter("doc_id = component_id").select("doc_id").distinct().count()
-    assert kept.filter("doc_id is not null").count() == found and kept.filter("doc_id is null").count() == 1
+    found = simhash.near_duplicates(edge).select("component_id").distinct().count()
+    assert kept.count() == found
     assert simhash.near_duplicates(edge.limit(0)).count() == 0 and simhash.keep_one(edge.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(60))
+    rows = [(1, text(0), "a"), (1, text(1), "b"), (1, text(2), "c"), (None, text(2), "d"), (None, text(3), "e"), (None, text(3), "f"), (None, text(3), "e"), (7, text(4), "g"), (5, text(4), "h"), (5, text(4), "h"), (9, None, "i"), (8, "", "j"), (None, " ", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, group string").repartition(3)
+    want = {(1, text(0), "a"), (1, text(1), "b"), (1, text(2), "c"), (5, text(4), "h"), (8, "", "j")}
+    for bucket in (2, simhash.BUCKET):
+        got = [tuple(r) for r in simhash.keep_one(docs, bucket=bucket).collect()]
+        rest = set(got) - want
+        assert len(got) == len(set(got)) == 6 and want < set(got) and rest < {(None, text(3), "e"), (None, text(3), "f")}
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in simhash.keep_one(docs.repartition(1)).collect())
+
+
 def test_components_of_paths_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(200)] + [(500, k) for k in range(501, 600)] + [(7, 7), (1, 0), (700, None)]
     got = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
