@@ -20,19 +20,23 @@ from lodestream.llm.shared import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the classifier does not call toxic; it learns from the labels of the rows that are still here, held-out ids left out."""
     model = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
-    return toxicity.score(docs, model, keep=True).filter("_toxic = 0").select(docs.columns)
+    return toxicity.clean(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs).select(docs.columns)
+    """One row of each component of near-duplicates: the one with the smallest doc_id, rows without one last. Wordless texts are one component."""
+    return simhash.keep_one(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with a mark in place of every secret; n_chars follows the new text, null texts stay null."""
     return secret_scan.redact(docs, secret_scan.fitted(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them, 0 to 3 times, in shuffled shards; null sources are a source of their own."""
     return mixing.mixed_rows(docs)
 
 
