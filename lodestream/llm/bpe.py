@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 from lodestream.llm.shared import texts_in, trimmed
 
 #: Fixed value: the split rule of this family of vocabularies, with white space by its Unicode property.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0  -     　"
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d"
-    rf"| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    rf"| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 _SPLIT = regex.compile(SPLIT)
 #: After letters, one of these is a word of its own.
@@ -73,6 +73,10 @@ class ByteBpe:
         self._pieces: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
+    def special_in(self, text: str, start: int, end: int) -> list[regex.Match]:
+        """Special strings that lie wholly between ``start`` and ``end``."""
+        return list(self._special.finditer(text, start, end)) if self._special else []
+
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of each pair; ``_NO_RANK`` where the pair has none."""
         keys = left << 20 | right

@@ -56,11 +56,43 @@ def test_encode_and_decode_keep_columns(edge):
     assert bpe.encode(edge, PATH, proof="label").filter("label").count() == edge.count()
 
 
-@pytest.mark.parametrize("chunk, overlap", [(50, 4), (64, 16), (700, 32)])
+@pytest.mark.parametrize("chunk, overlap", [(8, 2), (50, 4), (64, 16), (700, 32)])
 def test_chunked_counts(chunk, overlap):
     coder = bpe.ByteBpe(PATH)
-    for t in [*random_texts(80, 300, 1), "a" * 3000, "日本" * 1500, " " * 999]:
-        assert token_counts.count_in_chunks(coder, t, chunk, overlap) == len(coder.encode([t])[0]) // 4
+    texts = [*random_texts(150, 300, 1), "a" * 3000, "日本" * 1500, " " * 999, "x'll" * 300, "'s" * 500, "<|endoftext|>" * 90, "日本、語。" * 400, "a1" * 700, "\n\n x" * 200, ""]
+    want = [len(ids) // 4 for ids in coder.encode(texts)]
+    assert token_counts.counts_in_chunks(coder, texts, chunk, overlap) == want
+    assert [token_counts.counts_in_chunks(coder, [t], chunk, overlap)[0] for t in texts] == want
+
+
+def test_stable_places_are_boundaries_in_every_context():
+    """A place that is called stable is a boundary of the whole text's tokens, and what stands left of it changes nothing to its right."""
+    coder = bpe.ByteBpe(PATH)
+    rng = random.Random(4)
+    for text in random_texts(200, 40, 7):
+        whole = set(token_counts._offsets(coder, coder.encode([text])[0]).tolist())
+        for k in token_counts.stable(coder, text, 0, len(text)):
+            assert len(text[:k].encode()) in whole
+            other = rng.choice(["x", "1", "'", " ", "\n", "é.", ""]) + text[k - 1 :] if k else text
+            n = len(other.encode()) - len(text[k:].encode())
+            if len(other) > len(text) - k:
+                tokens = token_counts._offsets(coder, coder.encode([other])[0])
+                if k in token_counts.stable(coder, text, k, k + 1) and text[k - 1 : k]:
+                    inside = any(m.start() < len(other) - len(text) + k < m.end() for m in coder.special_in(other, 0, len(other)))
+                    assert inside or n in set(tokens.tolist())
+
+
+def test_time_of_texts_without_boundaries_is_linear():
+    """One more doubling of a run without a stable place encodes a bounded number of characters more."""
+    coder, sizes = bpe.ByteBpe(PATH), []
+    encode = coder.encode
+    coder.encode = lambda texts: sizes.append(sum(map(len, texts))) or encode(texts)
+    rng = random.Random(1)
+    for n in (20_000, 40_000, 80_000):
+        text = "".join(chr(rng.randint(0x3041, 0x30FF)) for _ in range(n)).replace("゠", "あ").replace("・", "い")
+        sizes.clear()
+        assert token_counts.counts_in_chunks(coder, [text], 1000, 64) == [len(encode([text])[0]) // 4]
+        assert sum(sizes) < 7 * n
 
 
 def test_token_counts(edge, library):
