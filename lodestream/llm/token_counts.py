@@ -3,7 +3,7 @@
 Neighbouring chunks overlap, and both encodings have token boundaries in the overlap. Some places are boundaries whatever
 stands further left or right, as no word of the split rule runs over them: before white space, after white space that is
 no plain space, between letters and digits, and between either and other signs, save an apostrophe before a letter, which
-may begin a word with it, and places inside a special string. Merges never cross words, so at such a place that both
+may begin a word with it, and places inside a special string or at its begin, as white space before it is cut by whether the whole of it is seen. Merges never cross words, so at such a place that both
 encodings cut, the counts are spliced. Where an overlap holds none, it is widened, at last over the whole right chunk; if
 that fails too, the left chunk takes the right one in and grows by its own length, so a run without any boundary is
 encoded in time linear in its length.
@@ -39,7 +39,7 @@ def _offsets(bpe: ByteBpe, ids: bytes) -> np.ndarray:
 def stable(bpe: ByteBpe, text: str, start: int, end: int) -> list[int]:
     """Places from ``start`` up to ``end``, not counting the latter, at which every encoding cuts that sees the characters around them."""
     reach = max(map(len, bpe.special), default=0)
-    inside = [range(m.start() + 1, m.end()) for m in bpe.special_in(text, max(0, start - reach), min(len(text), end + reach))]
+    inside = [range(m.start(), m.end()) for m in bpe.special_in(text, max(0, start - reach), min(len(text), end + reach))]
     return [k for m in _STABLE.finditer(text, max(0, start - 1), end + 1) if start <= (k := m.start()) < end and not any(k in r for r in inside)]
 
 
