@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import audio, bpe, embeddings, lattice_lm, mixing, secret_scan, sharding, simhash, token_counts, toxicity
+from lodestream.llm import audio, bpe, divergence, embeddings, lattice_lm, mixing, prefix_trie, proximity_graph, secret_scan, sharding, simhash, token_counts, toxicity
 from lodestream.llm.shared import table
 
 
@@ -65,6 +65,21 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every row whose vec_id is divisible by 50, over all rows of `embeddings`."""
+    return proximity_graph.neighbours(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie over the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sources and terms of sources, of every language in `documents`."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_source_mixing": op2_source_mixing,
@@ -76,7 +91,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_audio_fingerprints": op9_audio_fingerprints,
     "op10_lattice_lm": op10_lattice_lm,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: DuckDB SQL for the queries whose rows SQL can state; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_source_divergence": divergence.AUDIT_SQL,
+}
