@@ -27,7 +27,7 @@ class Graph:
     """Production parameters; ``shard`` and ``shard_bytes`` bound what a task holds, by the root of the rows and by their bytes."""
 
     degree: int = 24
-    beam: int = 48
+    beam: int = 32
     #: Beam of a query, and so the least number of nodes whose rows are compared exactly.
     query_beam: int = 128
     #: Nodes that a step of a search expands at once.
@@ -98,19 +98,17 @@ def pruned(unit: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, g: Graph
         vectors = unit[some]
         apart = 2 - 2 * np.einsum("ijk,ik->ij", vectors, unit[own])
         apart[~alive] = np.inf
-        order = np.argsort(apart, axis=1, kind="stable")
-        some, apart, alive = (np.take_along_axis(x, order, 1) for x in (some, apart, alive))
-        vectors = np.take_along_axis(vectors, order[:, :, None], 1)
         between = 2 - 2 * (vectors @ vectors.transpose(0, 2, 1))
         rows = np.arange(len(own))
         for slot in range(g.degree):
-            nearest = alive.argmax(axis=1)
+            nearest = apart.argmin(axis=1)
             left = alive[rows, nearest]
             if not left.any():
                 break
             kept[k + rows[left], slot] = some[rows, nearest][left]
             alive[rows, nearest] = False
             alive &= g.relax**2 * between[rows, nearest] > apart
+            apart[~alive] = np.inf
     return kept
 
 
