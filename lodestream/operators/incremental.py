@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.sources.published import Published, key_values
+
 #: Days of ingestion that an incremental run reads again.
 LOOKBACK_DAYS = 21
 
@@ -51,27 +54,8 @@ def _fs(spark: SparkSession, path: str):
     return at, at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def swap(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Write ``df``, which may read ``path``, beside it and put it in its place.
-
-    Between the two renames no table lies at ``path``; :func:`restored` mends a crash there, and :func:`load` calls it first.
-    """
-    spark = df.sparkSession
-    aside, old = (f"{path.rstrip('/')}.{x}" for x in ("new", "old"))
-    writer = df.write.mode("overwrite").option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(aside)
-    at, fs = _fs(spark, path)
-    fs.delete(at(old), True)
-    if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
-        raise OSError(f"{path} was not set aside")
-    if not fs.rename(at(aside), at(path)):
-        raise OSError(f"{aside} was not put in place")
-    fs.delete(at(old), True)
-    spark.catalog.refreshByPath(path)
-
-
 def restored(spark: SparkSession, path: str) -> bool:
-    """Whether a table lies at ``path``, after undoing a swap that ended halfway."""
+    """Whether a table lies at ``path``, after undoing a swap of folders that ended halfway; tables were once put in place so."""
     at, fs = _fs(spark, path)
     old = at(f"{path.rstrip('/')}.old")
     if not fs.exists(at(path)) and fs.exists(old):
@@ -79,47 +63,63 @@ def restored(spark: SparkSession, path: str) -> bool:
     return fs.exists(at(path))
 
 
-def load(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame], key: str | list[str], mode: str = "incremental", partition_by: str | None = None) -> DataFrame:
+def load(
+    spark: SparkSession,
+    path: str,
+    build: Callable[[DataFrame | None], DataFrame],
+    key: str | list[str],
+    mode: str = "incremental",
+    partition_by: str | None = None,
+    keep: int = 0,
+    on_step: Callable[[str], None] | None = None,
+) -> DataFrame:
     """Build a fact and store it at ``path``: anew with mode 'full', else by upsert.
 
     ``build`` gets the stored table, or None, and returns the rows to put in; it applies :func:`lookback` itself. With
     ``partition_by``, a column of days or months say, an incremental run reads and writes only the partitions in which the
     batch's keys lie or will lie: it looks keys up in two columns of the table, and no other partition is opened for its
-    rows. The batch is written once, aside, and a run that is repeated after a crash gives the same table. Null partition
-    values are a partition like any other.
+    rows. The table changes in one step (see :meth:`Published.replace`, also for ``keep`` and ``on_step``), so a run that
+    ends anywhere and is repeated gives the same table. Null partition values are a partition like any other.
     """
     if mode not in ("full", "incremental"):
         raise ValueError("mode is 'full' or 'incremental'; append with a lookback would duplicate rows")
-    target = spark.read.parquet(path) if mode == "incremental" and restored(spark, path) else None
+    there = restored(spark, path)
+    table = Published(spark, path, [partition_by] if partition_by else [])
+    target = table.read() if mode == "incremental" and there and table.exists else None
     if target is None or partition_by is None:
-        swap(upsert(target, build(target), key), path, [partition_by] if partition_by else None)
-        return spark.read.parquet(path)
-    keys, aside = [key] if isinstance(key, str) else key, f"{path.rstrip('/')}.batch"
-    build(target).write.mode("overwrite").option("compression", "zstd").parquet(aside)
-    batch = spark.read.parquet(aside)
-    part, of_target = F.col(partition_by), dict(target.dtypes)[partition_by]
-    batch = batch.withColumn(partition_by, part.cast(of_target))
-    wanted = batch.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
-    met = target.select(*keys, partition_by).join(wanted, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi").select(partition_by)
-    # Values of the touched partitions only; as literals they prune the scan.
-    touched = [r[0] for r in met.union(batch.select(partition_by)).distinct().collect()]
-    known = [v for v in touched if v is not None]
-    inside = part.isin(known) | part.isNull() if None in touched else part.isin(known)
-    merged = f"{path.rstrip('/')}.merged"
-    result = upsert(target.filter(inside), batch, key).select(*target.columns, *(c for c in batch.columns if c not in target.columns))
-    result.write.mode("overwrite").option("compression", "zstd").partitionBy(partition_by).parquet(merged)
-    ready = spark.read.schema(result.schema).parquet(merged)
-    left = {r[0] for r in ready.select(partition_by).distinct().collect()}
-    at, fs = _fs(spark, path)
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition_by).parquet(path)
-    # A partition that lost its last row has nothing to overwrite it.
-    for v in touched:
-        if v not in left:
-            fs.delete(at(f"{path.rstrip('/')}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"), True)
-    for x in (aside, merged):
-        fs.delete(at(x), True)
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+        table.replace(upsert(target, build(target), key), None, keep=keep, on_step=on_step)
+        return table.read()
+    merge(table, build(target), key, keep=keep, on_step=on_step)
+    return table.read()
+
+
+def merge(
+    table: Published,
+    batch: DataFrame,
+    key: str | list[str],
+    deleted_keys: DataFrame | None = None,
+    notes: dict | None = None,
+    keep: int = 0,
+    on_step: Callable[[str], None] | None = None,
+) -> None:
+    """Upsert ``batch`` into a stored table, replacing only the partitions in which its keys, or ``deleted_keys``, lie or will lie."""
+    target, keys = table.read(), [key] if isinstance(key, str) else key
+    columns = [*target.columns, *(c for c in batch.columns if c not in target.columns)]
+    batch = batch.withColumns({c: F.col(c).cast(target.schema[c].dataType) for c in table.by})
+    # Built once: keys are looked up first, rows written after.
+    batch = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        wanted = batch.select(*keys) if deleted_keys is None else batch.select(*keys).union(deleted_keys.select(*keys))
+        wanted = wanted.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
+        met = target.select(*keys, *table.by).join(wanted, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi")
+        touched = key_values(met.select(*table.by).union(batch.select(*table.by)), table.by)
+        if touched:
+            result = upsert(table.read(touched), batch, key, deleted_keys).select(*columns)
+            table.replace(result.repartition(*table.by), touched, notes=notes, keep=keep, on_step=on_step)
+        elif notes is not None:
+            table.note(notes)
+    finally:
+        batch.unpersist()
 
 
 def child_recency(own: Column, child: Column) -> Column:

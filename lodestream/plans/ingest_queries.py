@@ -19,6 +19,7 @@ from lodestream.plans import serving
 from lodestream.plans.registered import longs, query, scratch
 from lodestream.schema import struct
 from lodestream.sources import raw, sinks
+from lodestream.sources.published import STEPS, measured
 from lodestream.streaming.ingest import dedupe_in_flight, files, ingest, records_by_op
 
 _PAYLOAD = struct("id long, event_type string, value double")
@@ -297,6 +298,59 @@ def day_dropped_and_replayed(spark, sf_dir):
     return whole.join(spark.read.parquet(kept), "day", "left").select("day", "n", F.coalesce("after_drop", F.lit(0).cast("long")).alias("after_drop"))
 
 
+class _Ended(Exception):
+    """Stands for the end of a process."""
+
+
+def _ends_at(step: str):
+    def hear(now: str) -> None:
+        if now == step:
+            raise _Ended(step)
+
+    return hear
+
+
+def _counted(df: DataFrame, step: str, when: str) -> DataFrame:
+    offsets = F.struct("_kafka_partition", "_kafka_offset")
+    return df.agg(F.count("*").alias("n"), F.count_distinct(offsets).alias("n_distinct"), F.sum("_kafka_offset").alias("offsets")).select(F.lit(step).alias("step"), F.lit(when).alias("seen"), "*")
+
+
+@query(
+    f"""WITH {B.CHANGE_LOG}, steps AS (SELECT unnest({list(STEPS)}) AS step, unnest(range(1, {len(STEPS)} + 1)) AS k),
+seen AS (SELECT step, 'after the end' AS seen, k - (step <> 'remove')::INT AS slices FROM steps UNION ALL SELECT step, 'after the retry', k FROM steps)
+SELECT step, seen, count(*) AS n, count(*) AS n_distinct, CAST(sum(_kafka_offset) AS BIGINT) AS offsets FROM seen, change_log WHERE _kafka_offset % {len(STEPS) + 1} <= slices GROUP BY step, seen"""
+)
+def sink_ended_at_each_step(spark, sf_dir):
+    """Overlapping batches, each of whose runs ends before one step of its write, and is run again: what a reader sees after either."""
+    # Months instead of days: fewer directories, as each write is timed by their number.
+    log, path = B.change_log(spark, sf_dir).drop("event_id").withColumn("_ingested_at", F.date_trunc("month", "_ingested_at")), f"{scratch(spark)}/events"
+    of = F.col("_kafka_offset") % (len(STEPS) + 1)
+    sinks.write_batch(log.filter(of == 0), path)
+    for k, step in enumerate(STEPS):
+        late = log.filter(of.isin(k, k + 1)).orderBy(F.desc("_kafka_offset"))
+        try:
+            sinks.write_batch(late, path, on_step=_ends_at(step))
+        except _Ended:
+            pass
+        _counted(sinks.read_table(spark, path), step, "after the end").write.mode("append").parquet(f"{path}.seen")
+        sinks.write_batch(late, path)
+        _counted(sinks.read_table(spark, path), step, "after the retry").write.mode("append").parquet(f"{path}.seen")
+    return spark.read.parquet(f"{path}.seen")
+
+
+@query(
+    f"""WITH {B.CHANGE_LOG} SELECT CAST(_ingested_at AS DATE) AS _ingested_date, CAST(_kafka_partition AS BIGINT) AS _kafka_partition, _kafka_offset // 100000 AS _offset_block, 1 AS files, count(*) AS rows, TRUE AS same FROM change_log GROUP BY ALL"""
+)
+def kept_fingerprints(spark, sf_dir):
+    """Rows and fingerprints that the writer kept of each directory over three overlapping batches, with whether a new reading agrees."""
+    path, log = _landed(spark, sf_dir), B.change_log(spark, sf_dir).drop("event_id")
+    sinks.write_batch(log.filter("_kafka_offset % 10 < 2"), path)
+    table = sinks.raw_table(spark, path)
+    now = measured(table.read(), sinks.LAYOUT).select(*sinks.LAYOUT, F.col("fingerprint").cast("string").alias("now"))
+    out = sinks.kept_checksums(spark, path).join(now, sinks.LAYOUT, "left").withColumn("same", F.coalesce(F.col("now") == F.col("fingerprint"), F.lit(False)))
+    return longs(out.select(*sinks.LAYOUT, "files", "rows", "same"), "_kafka_partition", "_offset_block")
+
+
 @query(
     f"""WITH {B.CHANGE_LOG} SELECT CAST(_ingested_at AS DATE) AS _ingested_date, CAST(_kafka_partition AS BIGINT) AS _kafka_partition, _kafka_offset // 100000 AS _offset_block, count(*) AS rows,
   CAST(sum(CAST('0x' || substr(md5(_kafka_offset || '|' || event_type || '|' || id), 1, 8) AS BIGINT)) AS VARCHAR) AS fingerprint FROM change_log GROUP BY ALL"""

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestream.operators.changelog import union_by_offset
-from lodestream.operators.incremental import exists, fingerprint
+from lodestream.operators.incremental import fingerprint
 from lodestream.operators.schema_guard import IncompatibleSchema, classify, conform
-from lodestream.sources.store import Store
+from lodestream.sources.published import Published, key_values
 
 #: Offsets of one block; an offset always falls into the same directory.
 BLOCK = 100_000
@@ -25,74 +25,54 @@ def placed(df: DataFrame) -> DataFrame:
 
 #: The raw files' compression level and rows of a row group; dictionaries are on.
 WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.block.row.count.limit": "131072", "parquet.enable.dictionary": "true"}
-_SCHEMA = "schema"
+
+
+def raw_table(spark: SparkSession, path: str) -> Published:
+    return Published(spark, path, LAYOUT)
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema of a raw table that :func:`write_batch` wrote, its widest types so far; without one, that of its files."""
-    text = Store(spark, path).read(_SCHEMA)
-    if text is not None:
-        return T.StructType.fromJson(json.loads(text))
-    return spark.read.option("mergeSchema", "true").parquet(path).schema if exists(spark, path) else None
+    return raw_table(spark, path).schema
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table, older and narrower files in its widest schema."""
-    return spark.read.schema(stored_schema(spark, path)).parquet(path)
+    """The raw table's live rows, older and narrower files in its widest schema."""
+    return raw_table(spark, path).read()
 
 
-def write_batch(batch: DataFrame, path: str, delivery: list[str] | None = None) -> None:
+def write_batch(batch: DataFrame, path: str, delivery: list[str] | None = None, keep: int = 0, on_step: Callable[[str], None] | None = None) -> None:
     """Merge a batch into the raw table at ``path``.
 
     Only the directories that the batch falls into are read and replaced. Within them one row stays for each (partition,
     offset): the batch's, and of the batch's copies the last by ``delivery``, columns that are not stored. So the same batch
     twice, shuffled or overlapping, leaves the same rows. A batch across midnight goes to two days. Columns that only the
-    table or only the batch has, and types that either has wider, are kept in the table's schema, which is written before the
-    rows; a batch with a type that the guard calls incompatible is an error.
+    table or only the batch has, and types that either has wider, are kept in the table's schema. Rows and schema change in
+    one step, see :meth:`Published.replace`, which also explains ``keep`` and ``on_step``: a run that ends at any moment leaves the
+    table as it was or as it will be. A batch with a type that the guard calls incompatible is an error; an empty batch changes nothing.
     """
     spark = batch.sparkSession
     new = placed(batch).persist()
     try:
-        known = stored_schema(spark, path)
+        table = raw_table(spark, path)
         own = T.StructType([f for f in new.schema if f.name not in (delivery or [])])
-        verdict = classify(path, known, own)
+        verdict = classify(path, table.schema, own)
         if not verdict.accepted:
             raise IncompatibleSchema(verdict)
-        schema = verdict.merged
-        if known is not None:
-            touched = new.select(*LAYOUT).distinct()
-            prior = spark.read.schema(known).parquet(path).join(touched, LAYOUT, "left_semi")
-        else:
-            prior = spark.createDataFrame([], own)
-        if known is None or schema.json() != known.json():
-            Store(spark, path).write(_SCHEMA, schema.json())
-        merged = conform(union_by_offset(conform(prior, schema), new, delivery), schema)
-        # The result reads what it replaces: it is written aside first.
-        aside = f"{path.rstrip('/')}.new"
-        merged.write.mode("overwrite").option("compression", "zstd").parquet(aside)
-        (
-            spark.read.schema(schema)
-            .parquet(aside)
-            .repartition(*(F.col(c) for c in LAYOUT))
-            .sortWithinPartitions(*LAYOUT, "_kafka_offset")
-            .write.mode("overwrite")
-            .options(**WRITER, partitionOverwriteMode="dynamic")
-            .partitionBy(*LAYOUT)
-            .parquet(path)
-        )
-        remove(spark, aside)
+        schema, touched = verdict.merged, key_values(new, LAYOUT)
+        if not touched:
+            return
+        prior = conform(table.read(touched), schema) if table.exists else spark.createDataFrame([], schema)
+        merged = conform(union_by_offset(prior, new, delivery), schema)
+        placed_rows = merged.repartition(*(F.col(c) for c in LAYOUT)).sortWithinPartitions(*LAYOUT, "_kafka_offset")
+        table.replace(placed_rows, touched, schema, WRITER, keep=keep, on_step=on_step)
     finally:
         new.unpersist()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def drop_day(spark: SparkSession, path: str, day: str) -> None:
     """Remove one ingestion day for replay."""
-    remove(spark, f"{path.rstrip('/')}/_ingested_date={day}")
+    raw_table(spark, path).drop(lambda key: key[0] == day)
 
 
 def day_checksums(spark: SparkSession, path: str, day: str | None = None, portable: bool = False) -> DataFrame:
@@ -103,6 +83,11 @@ def day_checksums(spark: SparkSession, path: str, day: str | None = None, portab
     return fingerprint(df, LAYOUT, portable=portable)
 
 
+def kept_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(layout, files, rows, fingerprint) of each directory as its writer stored them: no data file is opened."""
+    return raw_table(spark, path).stored()
+
+
 def batch_id(batch: DataFrame) -> str:
     """A name for a batch of broker records: the same records in any order, as a retry gives them, have the same one."""
     total = F.sum(F.xxhash64("topic", "partition", "offset").cast("decimal(38,0)"))

@@ -73,7 +73,7 @@ def handle(batch: DataFrame, table: str, payload: T.StructType | None, registry:
     whole = typed(rows, verdict.merged)
     # Of one offset's copies in a batch the last delivered wins.
     order = [DELIVERY] if DELIVERY in whole.columns else []
-    write_batch(whole.select(*verdict.merged.names, *META.names, *order), f"{root}/{table}", order)
+    write_batch(whole.select(*verdict.merged.names, *META.names, *order), f"{root}/{table}", order, 1)
     return whole
 
 
