@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestream.schema import struct
+from lodestream.schema import quoted, struct
 
 META = struct("_op string, _lsn long, _kafka_offset long, _kafka_partition int, _ingested_at timestamp, _source_ts timestamp")
 DELETE = "d"
@@ -37,7 +37,7 @@ def latest(df: DataFrame, key: str | list[str], include_deletes: bool = False) -
     does not gather them in one task. Keys may be null and form a group of their own.
     """
     keys = [key] if isinstance(key, str) else key
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), _rank(df)).alias("_row")).select("_row.*")
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(quoted(c)) for c in df.columns)), _rank(df)).alias("_row")).select("_row.*")
     return best if include_deletes else best.filter((F.col("_op") != DELETE) | F.col("_op").isNull())
 
 
@@ -46,7 +46,7 @@ def dedupe_by_offset(df: DataFrame, delivery: list[str]) -> DataFrame:
 
     An aggregate, so repeated deliveries of one offset are reduced before the shuffle.
     """
-    rows = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    rows = F.struct(*(F.col(quoted(c)) for c in df.columns))
     best = df.groupBy("_kafka_partition", "_kafka_offset").agg(F.max_by(rows, F.struct(*delivery)).alias("_row"))
     return best.select("_row.*")
 
@@ -57,10 +57,13 @@ def union_by_offset(prior: DataFrame, incoming: DataFrame, delivery: list[str] |
     return dedupe_by_offset(both, ["_incoming", *(delivery or [])]).drop("_incoming")
 
 
-def at(path: str) -> str:
-    """The path of one field of a JSON object, whatever characters its name has."""
-    quote = '"' if "'" in path else "'"
-    return f"$[{quote}{path}{quote}]"
+def field(column: str, name: str, kind: str) -> Column:
+    """One field of the JSON object in ``column``, whatever characters its name has; null where it is no ``kind``."""
+    if "'" in name and '"' in name:
+        # No path can quote such a name.
+        return F.try_variant_get(F.col(column).try_cast("map<string,variant>").getItem(name), "$", kind)
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(column, f"$[{quote}{name}{quote}]", kind)
 
 
 def _parsed(events: DataFrame, value: str) -> DataFrame:
@@ -101,7 +104,7 @@ def parse_events(events: DataFrame, value: str = "value", topic: str = "topic")
 def typed(rows: DataFrame, payload: T.StructType) -> DataFrame:
     """The fields of ``payload``, sorted by name, out of ``_row``, and all other columns; what does not fit its type is null."""
     names = sorted(payload, key=lambda f: f.name)
-    cast = lambda f: F.try_variant_get("_row", at(f.name), f.dataType.simpleString()).alias(f.name)
+    cast = lambda f: field("_row", f.name, f.dataType.simpleString()).alias(f.name)
     return rows.select(*map(cast, names), *(c for c in rows.columns if c != "_row"))
 
 

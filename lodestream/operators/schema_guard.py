@@ -10,12 +10,12 @@ import json
 from dataclasses import dataclass
 from enum import IntEnum
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestream.operators.changelog import META, at
-from lodestream.schema import struct
+from lodestream.operators.changelog import META, field
+from lodestream.schema import quoted, struct
 from lodestream.sources.store import Store
 
 
@@ -96,7 +96,16 @@ def reconcile(known: T.StructType, incoming: T.StructType) -> T.StructType:
 
 
 def classify(table: str, known: T.StructType | None, incoming: T.StructType) -> Verdict:
-    """What ``incoming`` changes. The first schema seen of a table is accepted as it is."""
+    """What ``incoming`` changes. The first schema seen of a table is accepted as it is.
+
+    Names that differ only by case, from each other or from META's, cannot be columns of one table: the later one is incompatible.
+    """
+    names: dict[str, str] = {}
+    for f in (*META, *(known or ()), *incoming):
+        names.setdefault(f.name.lower(), f.name)
+    clash = [Difference(f.name, Change.INCOMPATIBLE, f"{names[f.name.lower()]} (name)", f.dataType.simpleString()) for f in incoming if names[f.name.lower()] != f.name]
+    if clash:
+        return Verdict(table, tuple(clash), known or T.StructType([]))
     if known is None:
         return Verdict(table, (), T.StructType([T.StructField(f.name, f.dataType) for f in incoming]))
     old, new = {f.name: f for f in known}, {f.name: f for f in incoming}
@@ -108,16 +117,43 @@ def classify(table: str, known: T.StructType | None, incoming: T.StructType) ->
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with exactly the columns of ``schema``: cast, and null where it has none."""
     have = set(df.columns)
-    return df.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+    return df.select(*((F.col(quoted(f.name)) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
 
 
 #: Integral types by size, with the largest value of each.
 _INTEGRAL = {T.ByteType(): 1 << 7, T.ShortType(): 1 << 15, T.IntegerType(): 1 << 31, T.LongType(): 1 << 63}
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 #: Types whose JSON form is text.
 _FROM_TEXT = (T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.BinaryType())
 _SCALARS = {"BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "STRING": T.StringType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}
 
 
+def _number(kind: str) -> T.DataType | None:
+    """The type that holds every number of a field of this kind exactly."""
+    if kind.startswith("DECIMAL"):
+        return T.DecimalType(*map(int, kind[len("DECIMAL(") : -1].split(",")))
+    return {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}.get(kind)
+
+
+def _lost(value: Column, exact: T.DataType, own: T.DataType) -> Column:
+    """Whether a number is another one, or none, once it is cast to ``own`` and back."""
+    there = value.try_cast(own)
+    back = there.cast("double") if isinstance(exact, T.DoubleType) else there if isinstance(own, T.DecimalType) else there.try_cast(exact)
+    return value.isNotNull() & ~F.coalesce(back == value, F.lit(False))
+
+
+def _misread(text: Column, own: T.DataType) -> Column:
+    """Whether a text is not a value of ``own``, or holds more than ``own`` keeps: a time beside the date, a zone, or parts of a microsecond."""
+    more = F.lit(False)
+    if isinstance(own, T.DateType):
+        more = ~text.rlike(r"^\s*\d{4}-\d{2}-\d{2}\s*$")
+    elif isinstance(own, T.TimestampType):
+        more = text.rlike(r"\.\d{6}\d*[1-9]")
+    elif isinstance(own, T.TimestampNTZType):
+        more = text.rlike(r"\.\d{6}\d*[1-9]|:.*([zZ]|[+-]\d{1,2}(:?\d{2})?)\s*$")
+    return text.isNotNull() & (text.try_cast(own).isNull() | more)
+
+
 def _fields(shape: str) -> dict[str, str]:
     """Names and kinds of the top fields of OBJECT<name: KIND, ...>; kinds of nested fields stay as they are."""
     out, depth, start, quoted = {}, 0, 0, False
@@ -137,36 +173,55 @@ def _fields(shape: str) -> dict[str, str]:
 def batch_shape(rows: DataFrame, known: T.StructType | None, column: str = "_row") -> T.StructType:
     """The schema that the JSON objects in ``column`` have, as what they would be of ``known``.
 
-    A field whose values all fit its known type has that type. Whole numbers that do not fit a narrow integer are bigint,
-    numbers with a fraction double, objects and arrays text; so are texts that are no date or time where one is known. Values
-    of several types are a variant, which fits no known type, or text in a field that is new. Fields that are null in all rows have their known type; unknown ones of that sort are left out, as JSON tells
-    nothing of them. One aggregate over the rows, and a second one only where a known type needs its values looked at.
+    A field has its known type only if every value is the same after a cast to it and back: no digit of a number, no time
+    beside a date, no zone is cut. Where one does not fit, the field has the type that holds it: whole numbers bigint, or
+    decimal beyond that; others double, or decimal where a double is not exact; texts timestamp where a date is known, else text.
+    Objects and arrays are text. Values of several types are a variant, which fits no known type, or text in a field that
+    is new. A new number is bigint, double if that is exact, decimal(38,0) if it is whole and larger, or else text. Fields
+    that are null in all rows have their known type; unknown ones of that sort are left out, as JSON tells nothing of them.
+    One aggregate over the rows, and a second one only where values must be looked at.
     """
     found = rows.agg(F.schema_of_variant_agg(column)).first()[0]
     if not found or not found.startswith("OBJECT<"):
         return T.StructType([])
     kinds, types = _fields(found), {f.name: f.dataType for f in known or ()}
-    checks = {}
-    for k, (name, kind) in enumerate(kinds.items()):
-        own = types.get(name)
-        if kind == "BIGINT" and own in _INTEGRAL and own != T.LongType():
-            n, most = F.try_variant_get(column, at(name), "long"), _INTEGRAL[own]
-            checks[name] = F.count_if((n >= most) | (n < -most)).alias(f"c{k}")
+    checks: dict[tuple[str, str], Column] = {}
+
+    def count(name: str, what: str, test: Column) -> None:
+        checks[name, what] = F.count_if(test).alias(f"c{len(checks)}")
+
+    for name, kind in kinds.items():
+        own, exact = types.get(name), _number(kind)
+        if exact is not None:
+            value = field(column, name, exact.simpleString())
+            if kind == "BIGINT" and own in _INTEGRAL and own != T.LongType():
+                most = _INTEGRAL[own]
+                count(name, "own", (value >= most) | (value < -most))
+            elif isinstance(own, _FRACTIONAL):
+                count(name, "own", _lost(value, exact, own))
+            if kind.startswith("DECIMAL") and not isinstance(own, T.DoubleType):
+                count(name, "double", _lost(value, exact, T.DoubleType()))
         elif kind == "STRING" and own in _FROM_TEXT:
-            text = F.try_variant_get(column, at(name), "string")
-            checks[name] = F.count_if(text.isNotNull() & text.try_cast(own).isNull()).alias(f"c{k}")
+            text = field(column, name, "string")
+            count(name, "own", _misread(text, own))
+            if isinstance(own, T.DateType):
+                count(name, "timestamp", _misread(text, T.TimestampType()))
     misfits = dict(zip(checks, rows.agg(*checks.values()).first(), strict=True)) if checks else {}
 
     def typed(name: str, kind: str) -> T.DataType | None:
-        own = types.get(name)
+        own, exact = types.get(name), _number(kind)
         if kind == "VOID":
             return own
-        if name in misfits:
-            return own if not misfits[name] else T.LongType() if kind == "BIGINT" else T.StringType()
-        if kind == "BIGINT" and isinstance(own, (T.LongType, T.FloatType, T.DoubleType, T.DecimalType)):
+        if misfits.get((name, "own")) == 0:
             return own
-        if kind.startswith("DECIMAL") or kind in ("DOUBLE", "FLOAT"):
-            return own if isinstance(own, (T.FloatType, T.DoubleType, T.DecimalType)) else T.DoubleType()
+        if kind == "STRING" and isinstance(own, T.DateType):
+            return T.TimestampType() if not misfits[name, "timestamp"] else T.StringType()
+        if kind.startswith("DECIMAL"):
+            if isinstance(own, T.DoubleType | T.DecimalType):
+                return exact
+            if own is None and exact.scale == 0:
+                return T.DecimalType(38, 0)
+            return T.DoubleType() if not misfits[name, "double"] else T.StringType() if own is None else exact
         if kind == "VARIANT" and own is not None:
             return T.VariantType()
         return _SCALARS.get(kind, T.StringType())

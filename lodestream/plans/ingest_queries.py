@@ -9,11 +9,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lodestream.operators import changelog, quality
 from lodestream.operators.incremental import fingerprint
-from lodestream.operators.schema_guard import Registry, audit_rows, batch_shape, labelled_audit
+from lodestream.operators.schema_guard import Registry, audit_rows, batch_shape, classify, labelled_audit
 from lodestream.plans import bindings as B
 from lodestream.plans import serving
 from lodestream.plans.registered import longs, query, scratch
@@ -163,6 +164,24 @@ def schema_changes(spark, sf_dir):
     return out.select(F.col("table").cast("long").alias("batch"), "column_name", "change", "from_type", "to_type", "outcome", B.ntz("detected_at"))
 
 
+@query(
+    """WITH rows AS (SELECT event_id % 4 AS batch, value, CAST(ts AS DATE) AS day FROM events),
+judged AS (SELECT batch, count(*) AS records, bool_or(batch = 1 AND round(value, 2) <> round(value, 1)) AS cut, bool_or(batch = 3 AND round(value) >= 100) AS large FROM rows GROUP BY batch)
+SELECT batch, records, CASE WHEN cut OR large THEN 'incompatible' WHEN batch = 2 THEN 'widening' ELSE 'none' END AS severity, NOT (cut OR large) AS accepted, CASE WHEN batch = 2 THEN 'timestamp' ELSE 'date' END AS day_type FROM judged"""
+)
+def exact_value_verdicts(spark, sf_dir):
+    """Decimals and dates in four batches: as registered, with more decimals than the type keeps, with times beside the dates, with numbers too large."""
+    b, known = F.col("event_id") % 4, T.StructType([T.StructField("amount", T.DecimalType(3, 1)), T.StructField("day", T.DateType())])
+    day = F.date_format("ts", "yyyy-MM-dd")
+    amount = F.when(b == 1, F.round("value", 2)).when(b == 3, F.round("value")).otherwise(F.round(F.col("value") % 50, 1))
+    rows = B.read(spark, sf_dir, "events").select(b.alias("batch"), F.struct(amount.alias("amount"), F.when(b == 2, F.concat(day, F.lit("T10:30:00"))).otherwise(day).alias("day")).alias("row"))
+    rows = rows.select("batch", F.parse_json(F.to_json("row")).alias("_row"))
+    verdicts = {n: classify("events", known, batch_shape(rows.filter(F.col("batch") == n), known)) for n in range(4)}
+    pick = lambda of: F.create_map(*(F.lit(x) for n, v in verdicts.items() for x in (n, of(v))))[F.col("batch").cast("int")]
+    out = rows.groupBy("batch").agg(F.count("*").alias("records"))
+    return out.select("batch", "records", pick(lambda v: v.severity.name.lower()).alias("severity"), pick(lambda v: v.accepted).alias("accepted"), pick(lambda v: v.merged["day"].dataType.simpleString()).alias("day_type"))
+
+
 # --- ingest -------------------------------------------------------------------------------------
 
 

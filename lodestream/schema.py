@@ -19,3 +19,8 @@ def struct(columns: str) -> T.StructType:
     """Nullable fields from "name type, name type" over the flat types above."""
     pairs = [c.split() for c in columns.split(",")]
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression that names it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestream.schema import quoted
 from lodestream.sources.store import Store
 
 #: The values of a directory's layout columns as text, None for null.
@@ -38,7 +39,7 @@ def row_hash(schema: T.StructType, without: Iterable[str] = ()) -> Column:
     """A 64-bit hash of a row's values by column name. Nulls add nothing and numbers count by value, so a row keeps its hash when its table gets a column or a wider type."""
     parts = []
     for f in sorted((f for f in schema if f.name not in set(without)), key=lambda f: f.name):
-        c = F.col(f"`{f.name}`")
+        c = F.col(quoted(f.name))
         if isinstance(f.dataType, T.FloatType):
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):

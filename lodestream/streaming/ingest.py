@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lodestream.operators.changelog import META, parse_events, typed, unparseable
 from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, batch_shape, classify
-from lodestream.schema import struct
+from lodestream.schema import quoted, struct
 from lodestream.sources.sinks import append_audit, batch_id, dead_batch, dead_records, write_batch
 
 #: What a source must give: the columns of a message broker.
@@ -56,8 +56,15 @@ def handle(batch: DataFrame, table: str, payload: T.StructType | None, registry:
     bad = unparseable(batch)
     if not bad.isEmpty():
         dead_records(bad, f"{root}/_dead/{table}/records", name)
-    rows = parse_events(batch).filter(F.col("_table") == table).drop("_table")
-    if rows.isEmpty():
+    parsed = parse_events(batch.withColumns({"_value": F.col("value"), "_topic": F.col("topic")}))
+    own = F.coalesce(F.col("_table") == table, F.lit(False))
+    rows = parsed.filter(own).drop("_table", "_value", "_topic")
+    mine, others = parsed.agg(F.count_if(own), F.count_if(~own)).first()
+    if others:
+        # Another table's events on this topic are kept, not lost.
+        foreign = parsed.filter(~own).select(F.col("_value").alias("value"), F.concat(F.lit("of table "), F.coalesce("_table", F.lit("?"))).alias("reason"), F.col("_topic").alias("topic"), F.col("_kafka_partition").alias("partition"), F.col("_kafka_offset").alias("offset"))
+        dead_records(foreign, f"{root}/_dead/{table}/foreign", name)
+    if not mine:
         return None
     if payload is not None and registry.known(table) is None:
         registry.settle(classify(table, None, payload))
@@ -73,7 +80,7 @@ def handle(batch: DataFrame, table: str, payload: T.StructType | None, registry:
     whole = typed(rows, verdict.merged)
     # Of one offset's copies in a batch the last delivered wins.
     order = [DELIVERY] if DELIVERY in whole.columns else []
-    write_batch(whole.select(*verdict.merged.names, *META.names, *order), f"{root}/{table}", order, 1)
+    write_batch(whole.select(*map(quoted, [*verdict.merged.names, *META.names, *order])), f"{root}/{table}", order, 1)
     return whole
 
 
