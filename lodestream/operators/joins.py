@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,76 @@ def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str
     return joined.drop(*(f"_k_{k}" for k in keys), "_from", "_to", "_f_grain", "_v_grain")
 
 
+def asof_carry(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month") -> DataFrame:
+    """:func:`asof_join` where a key's versions do not overlap: both sides are sorted into one sequence, which carries the last version begun to each fact.
+
+    Keys are cut by calendar ``grain``, so one with very many facts or versions is spread over months: a version travels
+    once, and once more for each month with facts that it is carried into. No job runs while the query is planned. Of
+    versions that begin at one moment the one that ends last counts. Facts without a version stay, with nulls.
+    """
+    keys = [on] if isinstance(on, str) else on
+    keep = [c for c in versions.columns if c not in keys] if columns is None else columns
+    number, names = _GRAINS[grain], [f"_k{i}" for i in range(len(keys))]
+    whole = versions.filter(F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
+    for k in keys:
+        whole = whole.filter(F.col(k).isNotNull())
+    # Open ends rank above all others.
+    version = F.struct(F.col(valid_from).alias("from"), F.col(valid_to).isNull().alias("open"), F.col(valid_to).alias("to"), F.struct(*keep).alias("kept"))
+    begun = whole.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), number(F.col(valid_from)).alias("_piece"), version.alias("_version"))
+    facts = fact.withColumns({n: F.col(k) for k, n in zip(keys, names, strict=True)} | {"_piece": number(F.col(at))})
+    last = begun.groupBy(*names, "_piece").agg(F.max_by("_version", F.struct("_version.from", "_version.open", "_version.to")).alias("_last"))
+    met = facts.filter(F.col("_piece").isNotNull()).select(*names, "_piece").distinct()
+    for n in names:
+        met = met.filter(F.col(n).isNotNull())
+    # One row for each key and month that has facts or versions.
+    pieces = met.withColumn("_asked", F.lit(True)).join(last, [*names, "_piece"], "full")
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*names).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
+    carried = pieces.withColumn("_carried", before).filter("_asked and _carried is not null").select(*names, "_piece", F.col("_carried").alias("_version"))
+    row = F.struct(*(F.col(c) for c in fact.columns))
+    sequence = (
+        begun.unionByName(carried)
+        .select(*names, "_piece", F.col("_version.from").alias("_time"), F.lit(0).alias("_kind"), F.struct("_version.open", "_version.to").alias("_tie"), "_version", F.lit(None).cast(fact.schema).alias("_fact"))
+        .unionByName(facts.select(*names, "_piece", F.col(at).cast(versions.schema[valid_from].dataType).alias("_time"), F.lit(1).alias("_kind"), row.alias("_fact")), allowMissingColumns=True)
+    )
+    now = Window.partitionBy(*names, "_piece").orderBy("_time", "_kind", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    found = sequence.withColumn("_met", F.last("_version", ignorenulls=True).over(now)).filter("_kind = 1")
+    holds = F.col("_met").isNotNull() & (F.col("_time") >= F.col("_met.from")) & (F.col("_met.open") | (F.col("_time") < F.col("_met.to")))
+    return found.select("_fact.*", *(F.when(holds, F.col("_met.kept")[c]).alias(c) for c in keep))
+
+
+def changed_intervals(old: DataFrame, new: DataFrame, on: str | list[str], valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """(on, valid_from, valid_to) of the versions that only one of the two sets has: outside of them every moment has the version it had."""
+    keys = [on] if isinstance(on, str) else on
+    same = [c for c in new.columns if c in old.columns]
+    differ = old.select(same).exceptAll(new.select(same)).unionByName(new.select(same).exceptAll(old.select(same)))
+    return differ.select(*keys, valid_from, valid_to).distinct()
+
+
+def asof_repair(
+    fact: DataFrame, old: DataFrame, new: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month"
+) -> DataFrame:
+    """The rows of ``fact``, which :func:`asof_join` gave over ``old`` versions, that ``new`` versions change, joined anew; the others are left out.
+
+    Versions that came late or went are found by comparing the two sets; only facts whose moment lies within one of them are
+    joined again. ``columns`` are the version's columns in ``fact``, by default all that are not keys. The result is for an
+    upsert, see :func:`lodestream.operators.incremental.merge`.
+    """
+    keys = [on] if isinstance(on, str) else on
+    keep = [c for c in new.columns if c not in keys] if columns is None else columns
+    bare = fact.drop(*keep)
+    number = _GRAINS[grain]
+    # An interval ends for this purpose with the last moment that facts of its key have; so open ones need no far end.
+    ends = bare.groupBy(*keys).agg(F.max(at).alias("_last"))
+    moved = changed_intervals(old, new, on, valid_from, valid_to).join(ends, keys).withColumn("_stop", F.least(F.coalesce(valid_to, "_last"), "_last")).filter(F.col(valid_from) <= F.col("_stop"))
+    pieces = moved.select(
+        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), F.explode(F.sequence(number(F.col(valid_from)), number(F.col("_stop")))).alias("_piece")
+    )
+    inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+    hit = bare.withColumn("_own", number(F.col(at)))
+    hit = hit.join(pieces, [*(hit[k] == pieces[f"_k_{k}"] for k in keys), hit["_own"] == pieces["_piece"], inside], "left_semi").drop("_own")
+    return asof_join(hit, new, on, at, valid_from, valid_to, keep, grain).select(*fact.columns)
+
+
 def current_join(fact: DataFrame, versions: DataFrame, on: str | list[str], columns: list[str], flag: str = "is_current") -> DataFrame:
     """Each fact row with its key's current version, whenever the fact happened; facts without one stay, with nulls."""
     keys = [on] if isinstance(on, str) else on

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions.scalars import surrogate_key
 from lodestream.operators.windows import distinct_over
+from lodestream.sources.published import Published, key_values
 
 FOREVER = "9999-12-31 23:59:59"
 
@@ -60,3 +61,63 @@ def dimension(versions: DataFrame, key: str, created_at: str, relocation: str, r
         .withColumn("version_duration_days", F.datediff(F.coalesce("valid_to", F.lit(run_as_of).cast("timestamp")), "valid_from"))
         .drop("_from")
     )
+
+
+#: Of a log row kept in a version table: whether it begins a version, and where that one ends.
+BEGINS, UNTIL = "_begins", "valid_to"
+
+
+def merge_log(stored: DataFrame | None, batch: DataFrame, key: str, attributes: list[str], at: str, order: list[str]) -> DataFrame:
+    """The version table after one more batch of log rows, in whatever order batches come.
+
+    The table holds every log row once: ``key``, ``attributes``, ``at``, ``_op``, the columns ``order``, which tell a key's
+    rows apart, and whether the row begins a version and until when it holds. A late change splits the version that it falls
+    into: that one ends where the change begins, and a row that only confirmed the old state begins a version of its own if
+    the change came between. Rows of keys that the batch does not name pass through as they are. A row that is delivered
+    again, by key and order, counts once. Keys may be null.
+    """
+    columns = list(dict.fromkeys([key, *attributes, at, "_op", *order]))
+    new = batch.select(*columns).dropDuplicates([key, *order])
+    if stored is None:
+        return _begun(new, key, attributes, at, order)
+    keys = new.select(F.col(key).alias("_key")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    met = stored.join(keys, same, "left_semi").select(*columns)
+    both = met.withColumn("_known", F.lit(0)).unionByName(new.withColumn("_known", F.lit(1)))
+    once = both.groupBy(*dict.fromkeys([key, *order])).agg(F.min_by(F.struct(*columns), "_known").alias("_row")).select("_row.*")
+    return stored.join(keys, same, "left_anti").unionByName(_begun(once, key, attributes, at, order))
+
+
+def _begun(rows: DataFrame, key: str, attributes: list[str], at: str, order: list[str]) -> DataFrame:
+    w = Window.partitionBy(key)
+    state = F.struct(F.col("_op") == "d", *(F.col(a) for a in attributes))
+    told = rows.withColumn("_state", state).withColumn("_before", F.lag("_state").over(w.orderBy(*order)))
+    told = told.withColumn(BEGINS, F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before"))).drop("_state", "_before")
+    # Read backwards, the last beginning before a row is where its version ends.
+    later = w.orderBy(*(F.col(c).desc() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
+    end = F.last(F.when(F.col(BEGINS), F.col(at)), ignorenulls=True).over(later)
+    return told.withColumn(UNTIL, F.when(F.col(BEGINS), end))
+
+
+def versions_of(table: DataFrame, key: str, attributes: list[str], at: str) -> DataFrame:
+    """The versions that a table of :func:`merge_log` holds, as :func:`versions_from_log` gives them."""
+    return table.filter(F.col(BEGINS) & (F.col("_op") != "d")).select(key, *attributes, F.col(at).alias("valid_from"), UNTIL)
+
+
+def keep_versions(spark, path: str, batch: DataFrame, key: str, attributes: list[str], at: str, order: list[str], buckets: int = 64, on_step=None) -> DataFrame:
+    """:func:`merge_log` into the table at ``path``, laid out in ``buckets`` of the key's hash: only those that the batch's keys fall into are read and replaced.
+
+    The table changes in one step, so a batch that ends anywhere is run again without harm. ``buckets`` counts for a new table.
+    """
+    table = Published(spark, path, ["_bucket"])
+    n = table.notes.get("buckets", buckets)
+    placed = batch.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).persist()
+    try:
+        touched = key_values(placed, ["_bucket"])
+        if touched:
+            stored = table.read(touched).drop("_bucket") if table.exists and table.notes else None
+            merged = merge_log(stored, placed, key, attributes, at, order).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+            table.replace(merged.repartition("_bucket"), touched, notes={"buckets": n}, on_step=on_step)
+    finally:
+        placed.unpersist()
+    return table.read()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestream.operators import changelog, quality
+from lodestream.operators import changelog, quality, touched
 from lodestream.operators.incremental import fingerprint
 from lodestream.operators.schema_guard import Registry, audit_rows, batch_shape, classify, labelled_audit
 from lodestream.plans import bindings as B
@@ -254,6 +254,44 @@ def touched_keys_feed(spark, sf_dir):
     return spark.read.parquet(f"{root}/touched").select("id").distinct()
 
 
+def _user_facts(rows: DataFrame) -> DataFrame:
+    """One row for each user whose last change is no delete: changes, sum and last value, by the month of the last change."""
+    order = F.struct(F.coalesce("_lsn", F.lit(0)), "_source_ts", "_kafka_partition", "_kafka_offset")
+    last = rows.groupBy("id").agg(
+        F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"), F.max_by(F.struct("_op", "value", "_ingested_at"), order).alias("last")
+    )
+    return last.filter("last._op <> 'd'").select("id", "n", "cents", F.col("last.value").alias("last_value"), F.date_format("last._ingested_at", "yyyy-MM").alias("month"))
+
+
+@query(
+    f"""WITH good AS (SELECT user_id AS id, event_id, event_type, value, ts FROM events WHERE {_GOOD}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id DESC) AS r, count(*) OVER (PARTITION BY id) AS n,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY id) AS BIGINT) AS cents FROM good)
+SELECT id, n, cents, value AS last_value, strftime(ts, '%Y-%m') AS month FROM ranked WHERE r = 1 AND event_type <> 'error'"""
+)
+def streamed_fact(spark, sf_dir):
+    """A fact that follows the stream by touched keys over three batches, the second delivered again with the third, and one run that ends before its pointer."""
+    root = scratch(spark)
+    messages = _messages(spark, sf_dir)
+    low, high = B.read(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    first, second = low + (high - low) // 3, low + 2 * (high - low) // 3
+    of = {1: F.col("event_id") <= first, 2: (F.col("event_id") > first) & (F.col("event_id") <= second), 3: F.col("event_id") > second}
+    raw_rows = lambda: sinks.read_table(spark, f"{root}/raw/events")
+    run = lambda hear=None: touched.follow(spark, f"{root}/fact", f"{root}/touched", raw_rows, _user_facts, "id", "month", on_step=hear)
+    for k in (1, 2, 3):
+        messages.filter(of[k]).drop("event_id").write.json(f"{root}/in/{k}")
+        if k == 3:
+            messages.filter(of[2]).drop("event_id").orderBy(F.desc("offset")).write.json(f"{root}/in/again")
+        _drain(spark, root, touched=f"{root}/touched")
+        if k == 2:
+            try:
+                run(_ends_at("point"))
+            except _Ended:
+                pass
+        run()
+    return run().select("id", "n", "cents", "last_value", F.col("month").cast("string").alias("month"))
+
+
 @query(f"SELECT CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op, count(*) AS records, max(ts) AS last_flush FROM events WHERE {_GOOD} GROUP BY 1")
 def ingested_by_op(spark, sf_dir):
     """What a drained stream ingested of each operation, and the newest of it."""

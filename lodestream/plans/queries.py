@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import scalars as S
 from lodestream.operators import changelog, incremental, joins, quality, scd2
+from lodestream.operators.windows import following
 from lodestream.plans import bindings as B
 from lodestream.plans import intermediate, marts, serving, staging
-from lodestream.plans.registered import ORACLE_SQL, QUERIES, longs, query
+from lodestream.plans.registered import ORACLE_SQL, QUERIES, longs, query, scratch
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
 
@@ -200,14 +201,15 @@ def scd2_versions(spark, sf_dir):
     return out.select("user_id", "state", B.ntz("valid_from"), B.ntz("valid_to"))
 
 
-@query(
-    f"""WITH {B.CHANGE_LOG}, changed AS (
+_SCD2_LOG = f"""WITH {B.CHANGE_LOG}, changed AS (
   SELECT *, lag(event_type) OVER w AS before, lag(_op) OVER w AS before_op FROM change_log
   WINDOW w AS (PARTITION BY id ORDER BY _ingested_at, event_id)),
 kept AS (SELECT * FROM changed WHERE before_op IS NULL OR event_type IS DISTINCT FROM before OR (_op = 'd') <> (before_op = 'd')),
 ended AS (SELECT id, event_type, _op, _ingested_at AS valid_from, lead(_ingested_at) OVER (PARTITION BY id ORDER BY _ingested_at, event_id) AS valid_to FROM kept)
 SELECT id, event_type, valid_from, valid_to FROM ended WHERE _op <> 'd'"""
-)
+
+
+@query(_SCD2_LOG)
 def scd2_from_log(spark, sf_dir):
     log = B.change_log(spark, sf_dir)
     out = scd2.versions_from_log(log, "id", ["event_type"], "_ingested_at", ["_ingested_at", "event_id"])
@@ -236,20 +238,53 @@ def customer_dimension(spark, sf_dir):
     return longs(out, "version_number", "version_duration_days")
 
 
-@query(
-    f"""WITH {B.VERSIONS}
+_ASOF = f"""WITH {B.VERSIONS}
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_shipdate, o_custkey AS customer_id, version_key
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 LEFT JOIN versions v ON v.customer_id = o_custkey AND l_shipdate >= v.valid_from AND (v.valid_to IS NULL OR l_shipdate < v.valid_to)"""
-)
-def asof_join(spark, sf_dir):
+
+
+def _shipped(spark, sf_dir) -> DataFrame:
     items = B.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     owners = B.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
-    fact = items.join(owners, "l_orderkey").withColumn("at", F.col("l_shipdate").cast("timestamp"))
-    out = joins.asof_join(fact, B.versions(spark, sf_dir), "customer_id", "at", columns=["version_key"])
+    return items.join(owners, "l_orderkey").withColumn("at", F.col("l_shipdate").cast("timestamp"))
+
+
+def _owned(out: DataFrame) -> DataFrame:
     return longs(out.select("l_orderkey", "l_linenumber", "l_shipdate", "customer_id", "version_key"), "l_linenumber")
 
 
+@query(_ASOF)
+def asof_join(spark, sf_dir):
+    return _owned(joins.asof_join(_shipped(spark, sf_dir), B.versions(spark, sf_dir), "customer_id", "at", columns=["version_key"]))
+
+
+@query(_ASOF)
+def asof_join_one_pass(spark, sf_dir):
+    """The same rows by one sorted sequence of versions and items, as versions do not overlap."""
+    return _owned(joins.asof_carry(_shipped(spark, sf_dir), B.versions(spark, sf_dir), "customer_id", "at", columns=["version_key"]))
+
+
+@query(_ASOF)
+def asof_repaired(spark, sf_dir):
+    """The same rows by repair: joined first to versions of which every fifth is missing, then only where those came late."""
+    versions = B.versions(spark, sf_dir)
+    early = versions.filter("version_key % 5 <> 0").withColumn("valid_to", following("valid_from", "customer_id", ["valid_from"]))
+    fact = joins.asof_join(_shipped(spark, sf_dir), early, "customer_id", "at", columns=["version_key"])
+    mended = joins.asof_repair(fact, early, versions, "customer_id", "at", columns=["version_key"])
+    return _owned(incremental.upsert(fact, mended, ["l_orderkey", "l_linenumber", "l_shipdate"]))
+
+
+@query(_SCD2_LOG)
+def scd2_late_batches(spark, sf_dir):
+    """The same versions from a stored table that got the log in four batches out of order, one of them twice."""
+    log, path = B.change_log(spark, sf_dir), f"{scratch(spark)}/versions"
+    for part in (2, 0, 3, 1, 0):
+        batch = log.filter(F.col("event_id") % 4 == part)
+        table = scd2.keep_versions(spark, path, batch, "id", ["event_type"], "_ingested_at", ["_ingested_at", "event_id"], buckets=8)
+    return scd2.versions_of(table, "id", ["event_type"], "_ingested_at").select("id", "event_type", B.ntz("valid_from"), B.ntz("valid_to"))
+
+
 # --- subscriptions ------------------------------------------------------------------------------
 
 

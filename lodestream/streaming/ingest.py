@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lodestream.operators.changelog import META, parse_events, typed, unparseable
 from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, batch_shape, classify
+from lodestream.operators.touched import write_keys
 from lodestream.schema import quoted, struct
 from lodestream.sources.sinks import append_audit, batch_id, dead_batch, dead_records, write_batch
 
@@ -95,7 +96,7 @@ def ingest(source: DataFrame, table: str, payload: T.StructType | None, registry
         try:
             rows = handle(batch, table, payload, registry, root)
             if rows is not None and touched is not None:
-                rows.select(key).distinct().write.mode("overwrite").parquet(f"{touched}/batch={number}")
+                write_keys(rows.select(key), touched, number)
         finally:
             batch.unpersist()
 
