@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestream.functions import scalars as S
+from lodestream.operators.bitmaps import interval_mask, masks, numbers
 from lodestream.operators.incremental import lookback
-from lodestream.operators.joins import asof_join, gap_fill, interval_days, interval_months
+from lodestream.operators.joins import asof_join, gap_fill, interval_days
+from lodestream.operators.sweep import bounded, edges, islands, running
 from lodestream.operators.windows import moved, rolling
 
 SPINE = ("2024-01-01", "2027-12-31")
@@ -165,25 +167,28 @@ def fct_subscription_events(events: DataFrame, subscriptions: DataFrame, dim_pla
 def fct_mrr_daily(periods: DataFrame, dim_plan_: DataFrame, run_as_of, first: Column | None = None) -> DataFrame:
     """MRR of each day on which something earns: a plan's monthly cents by the days of the month, summed and scaled back.
 
-    Periods are exploded into their own days. Each tier is also given by itself; the three without legacy do not add up to the whole.
+    Nothing is exploded into days: cents are added where a period begins and taken off where it ends, so an open period of
+    years costs two rows, and sums are exact until a day's are divided by its month. Subscriptions and customers are counted
+    over the union of their periods. Each tier is also given by itself; the three without legacy do not add up to the whole.
     """
     last = F.lit(run_as_of).cast("date")
     plans = dim_plan_.select("plan_id", "plan_tier", "monthly_cents")
-    # Plans are joined before the periods become days: few rows move, and few plans are no join key for many.
     earning = periods.filter("can_earn_revenue").select("subscription_id", "customer_id", "plan_id", "revenue_from", "valid_to").join(plans, "plan_id")
-    daily = interval_days(earning, "revenue_from", "valid_to", last, first).withColumn("days_in_month", S.days_in_month(F.col("date_day"))).withColumn("_cents", F.col("monthly_cents").cast("double") / F.col("days_in_month"))
-    tiers, whole = ("entry", "mid", "top", "legacy"), F.max("days_in_month")
-    of_tier = lambda t: F.sum(F.when(F.col("plan_tier") == t, F.col("_cents")).otherwise(F.lit(0.0)))
-    # Summed by subscription first, a day needs one distinct count instead of two, which would triple its rows.
-    own = daily.groupBy("date_day", "days_in_month", "subscription_id", "customer_id").agg(F.sum("_cents").alias("_cents"), *(of_tier(t).alias(f"_{t}") for t in tiers))
-    counted = own.groupBy("date_day", "days_in_month", "customer_id").agg(F.count("*").alias("_subscriptions"), F.sum("_cents").alias("_cents"), *(F.sum(f"_{t}").alias(f"_{t}") for t in tiers))
-    out = counted.groupBy("date_day").agg(
-        whole.alias("days_in_month"),
-        F.sum("_subscriptions").alias("active_subscriptions"),
-        F.count("customer_id").alias("paying_customers"),
-        F.sum("_cents").alias("daily_mrr_cents"),
-        (F.sum("_cents") * whole).alias("mrr_cents"),
-        *((F.sum(f"_{t}") * whole).alias(f"mrr_{t}_cents") for t in tiers),
+    spans = bounded(earning, "revenue_from", "valid_to", last, first)
+    tiers, one = ("entry", "mid", "top", "legacy"), F.lit(1)
+    of_tier = lambda t: F.when(F.col("plan_tier") == t, F.col("monthly_cents")).otherwise(F.lit(0))
+    cents = edges(spans, _cents=F.col("monthly_cents"), _rows=one, **{f"_{t}": of_tier(t) for t in tiers})
+    daily = running([cents, edges(islands(spans, "subscription_id"), active_subscriptions=one), edges(islands(spans, "customer_id"), paying_customers=one)])
+    by_day = daily.filter("_rows > 0").withColumn("days_in_month", S.days_in_month(F.col("date_day")))
+    share = lambda c: F.col(c).cast("double") / F.col("days_in_month")
+    out = by_day.select(
+        "date_day",
+        "days_in_month",
+        "active_subscriptions",
+        "paying_customers",
+        share("_cents").alias("daily_mrr_cents"),
+        (share("_cents") * F.col("days_in_month")).alias("mrr_cents"),
+        *((share(f"_{t}") * F.col("days_in_month")).alias(f"mrr_{t}_cents") for t in tiers),
     )
     return (
         out.withColumn("prev_mrr_cents", moved("mrr_cents"))
@@ -201,10 +206,13 @@ def fct_cohort_retention(customers: DataFrame, periods: DataFrame, run_as_of) ->
     last = F.lit(run_as_of).cast("date")
     cohort = customers.select("customer_id", F.to_date(F.date_trunc("month", "created_at")).alias("cohort_month"))
     sizes = cohort.groupBy("cohort_month").agg(F.count_distinct("customer_id").alias("cohort_size")).withColumn("months_observable", S.month_diff(F.col("cohort_month"), last))
-    earning = periods.filter("can_earn_revenue").select("customer_id", "revenue_from", "valid_to")
-    active = interval_months(earning, "revenue_from", "valid_to", last).select("customer_id", "active_month").distinct()
-    kept = active.join(cohort, "customer_id").filter("active_month >= cohort_month").withColumn("period_number", S.month_diff(F.col("cohort_month"), F.col("active_month")))
-    retained = kept.groupBy("cohort_month", "period_number").agg(F.count_distinct("customer_id").alias("retained_customers"))
+    # The months in which a customer earns are bits of a mask, united by customer: no row for each month, no distinct count.
+    month = lambda c: F.year(c) * 12 + F.month(c) - 1
+    earning = bounded(periods.filter("can_earn_revenue").select("customer_id", "revenue_from", "valid_to"), "revenue_from", "valid_to", last)
+    active = masks(interval_mask(earning, month(F.col("_begin")), month(F.col("_stop"))), "customer_id")
+    since = F.col("_month") - month(F.col("cohort_month"))
+    kept = numbers(active.join(cohort.distinct(), "customer_id"), "_month").withColumn("period_number", since.cast("int")).filter("period_number >= 0")
+    retained = kept.groupBy("cohort_month", "period_number").agg(F.count("*").alias("retained_customers"))
     return sizes.join(retained, "cohort_month").filter("period_number <= months_observable").select(
         S.surrogate_key(F.col("cohort_month"), F.col("period_number")).alias("cohort_period_key"),
         "cohort_month",

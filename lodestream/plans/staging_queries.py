@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.functions import scalars as S
-from lodestream.operators import changelog, incremental, joins, scd2
+from lodestream.operators import bitmaps, changelog, incremental, joins, scd2
 from lodestream.plans import bindings as B
 from lodestream.plans import intermediate, marts, serving
 from lodestream.plans.registered import longs, query, scratch
@@ -192,6 +192,26 @@ def cohort_retention_of_orders(spark, sf_dir):
     return longs(_cohorts(spark, sf_dir).select(_CELLS), "period_number", "months_observable")
 
 
+@query(
+    """WITH days AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey AS c FROM orders)
+SELECT 'day' AS grain, day AS begins, count(DISTINCT c) AS customers FROM days GROUP BY ALL
+UNION ALL SELECT 'week', CAST(date_trunc('week', day) AS DATE), count(DISTINCT c) FROM days GROUP BY ALL
+UNION ALL SELECT 'month', CAST(date_trunc('month', day) AS DATE), count(DISTINCT c) FROM days GROUP BY ALL
+UNION ALL SELECT 'year', CAST(date_trunc('year', day) AS DATE), count(DISTINCT c) FROM days GROUP BY ALL"""
+)
+def distinct_customers_rollup(spark, sf_dir):
+    """Distinct customers of each day, week, month and year, all from the days' bitmaps as they are kept."""
+    path = f"{scratch(spark)}/bitmaps"
+    orders = B.read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    bitmaps.distinct_bitmaps(orders, ["day"], "o_custkey").write.parquet(path)
+    kept, out = spark.read.parquet(path), None
+    for grain in ("day", "week", "month", "year"):
+        coarse = bitmaps.rolled_up(kept, F.to_date(F.date_trunc(grain, "day")).alias("begins"))
+        counts = bitmaps.distinct_counts(coarse, ["begins"], "customers").select(F.lit(grain).alias("grain"), "begins", "customers")
+        out = counts if out is None else out.union(counts)
+    return out
+
+
 _ASKED = (date(1995, 6, 1), date(2001, 12, 1), 6)
 
 
