@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.operators.key_index import KeyIndex
 from lodestream.sources.published import Published, key_values
 
 #: Days of ingestion that an incremental run reads again.
@@ -72,6 +73,7 @@ def load(
     partition_by: str | None = None,
     keep: int = 0,
     on_step: Callable[[str], None] | None = None,
+    indexed: bool = False,
 ) -> DataFrame:
     """Build a fact and store it at ``path``: anew with mode 'full', else by upsert.
 
@@ -79,17 +81,27 @@ def load(
     ``partition_by``, a column of days or months say, an incremental run reads and writes only the partitions in which the
     batch's keys lie or will lie: it looks keys up in two columns of the table, and no other partition is opened for its
     rows. The table changes in one step (see :meth:`Published.replace`, also for ``keep`` and ``on_step``), so a run that
-    ends anywhere and is repeated gives the same table. Null partition values are a partition like any other.
+    ends anywhere and is repeated gives the same table. Null partition values are a partition like any other. With
+    ``indexed`` the keys are looked up in a :class:`KeyIndex` beside the table, of which only the batch's buckets are read.
     """
     if mode not in ("full", "incremental"):
         raise ValueError("mode is 'full' or 'incremental'; append with a lookback would duplicate rows")
     there = restored(spark, path)
     table = Published(spark, path, [partition_by] if partition_by else [])
     target = table.read() if mode == "incremental" and there and table.exists else None
+    keys = [key] if isinstance(key, str) else key
+    index = KeyIndex(spark, path, keys, table.by) if indexed and partition_by is not None else None
     if target is None or partition_by is None:
-        table.replace(upsert(target, build(target), key), None, keep=keep, on_step=on_step)
+        rows = upsert(target, build(target), key)
+        if index is not None and index.ready:
+            index.widen(rows)
+        table.replace(rows, None, keep=keep, on_step=on_step)
+        if index is not None:
+            index.rebuild(table.read())
         return table.read()
-    merge(table, build(target), key, keep=keep, on_step=on_step)
+    if index is not None and not index.ready:
+        index.rebuild(target)
+    merge(table, build(target), key, keep=keep, on_step=on_step, index=index)
     return table.read()
 
 
@@ -101,8 +113,12 @@ def merge(
     notes: dict | None = None,
     keep: int = 0,
     on_step: Callable[[str], None] | None = None,
+    index: KeyIndex | None = None,
 ) -> None:
-    """Upsert ``batch`` into a stored table, replacing only the partitions in which its keys, or ``deleted_keys``, lie or will lie."""
+    """Upsert ``batch`` into a stored table, replacing only the partitions in which its keys, or ``deleted_keys``, lie or will lie.
+
+    They are looked up in ``index`` if there is one, else in the table's key and partition columns.
+    """
     target, keys = table.read(), [key] if isinstance(key, str) else key
     columns = [*target.columns, *(c for c in batch.columns if c not in target.columns)]
     batch = batch.withColumns({c: F.col(c).cast(target.schema[c].dataType) for c in table.by})
@@ -110,12 +126,19 @@ def merge(
     batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
         wanted = batch.select(*keys) if deleted_keys is None else batch.select(*keys).union(deleted_keys.select(*keys))
-        wanted = wanted.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
-        met = target.select(*keys, *table.by).join(wanted, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi")
+        if index is not None:
+            met, _ = index.lookup(wanted)
+        else:
+            asked = wanted.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
+            met = target.select(*keys, *table.by).join(asked, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi")
         touched = key_values(met.select(*table.by).union(batch.select(*table.by)), table.by)
         if touched:
+            if index is not None:
+                index.widen(batch)
             result = upsert(table.read(touched), batch, key, deleted_keys).select(*columns)
             table.replace(result.repartition(*table.by), touched, notes=notes, keep=keep, on_step=on_step)
+            if index is not None:
+                index.settle(batch, wanted)
         elif notes is not None:
             table.note(notes)
     finally:

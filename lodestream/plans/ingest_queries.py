@@ -292,7 +292,10 @@ def streamed_fact(spark, sf_dir):
     return run().select("id", "n", "cents", "last_value", F.col("month").cast("string").alias("month"))
 
 
-@query(f"SELECT CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op, count(*) AS records, max(ts) AS last_flush FROM events WHERE {_GOOD} GROUP BY 1")
+_BY_OP = f"SELECT CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op, count(*) AS records, max(ts) AS last_flush FROM events WHERE {_GOOD} GROUP BY 1"
+
+
+@query(_BY_OP)
 def ingested_by_op(spark, sf_dir):
     """What a drained stream ingested of each operation, and the newest of it."""
     root = scratch(spark)
@@ -301,6 +304,22 @@ def ingested_by_op(spark, sf_dir):
     return records_by_op(sinks.read_table(spark, f"{root}/raw/events")).select("op", "records", B.ntz("last_flush"))
 
 
+@query(f"SELECT op, records, records AS kept, (SELECT max(ts) FROM events WHERE {_GOOD}) AS newest FROM ({_BY_OP})")
+def observed_by_op(spark, sf_dir):
+    """What was observed of each operation while two batches flowed by, the first delivered again, beside what the table's writer counted: no scan of the table."""
+    root, m = scratch(spark), _messages(spark, sf_dir)
+    stamp = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    for name, part, again in (("a", 0, False), ("b", 1, False), ("c", 0, True)):
+        some = m.filter(F.col("event_id") % 2 == part).drop("event_id")
+        (some.orderBy(F.desc("offset")) if again else some).write.options(**stamp).json(f"{root}/in/{name}")
+        _drain(spark, root)
+    seen = sinks.read_metrics(spark, f"{root}/raw/_metrics/events")
+    newest = seen.agg(F.max("newest").alias("newest"))
+    by_op = seen.select(F.explode(F.array(*(F.struct(F.lit(op).alias("op"), F.col(op).alias("n")) for op in "cud"))).alias("x")).groupBy("x.op").agg(F.sum("x.n").alias("records"))
+    kept = sinks.kept_by_op(spark, f"{root}/raw/events").withColumnRenamed("records", "kept")
+    return by_op.join(kept, "op", "full").crossJoin(newest).select("op", "records", "kept", B.ntz("newest"))
+
+
 @query(f"WITH {B.CHANGE_LOG} SELECT CAST(_kafka_partition AS BIGINT) AS partition, count(*) AS n, CAST(sum(_kafka_offset) AS BIGINT) AS offsets FROM change_log GROUP BY 1")
 def stream_dedupe(spark, sf_dir):
     """Records delivered three times within the watermark, reduced in flight."""

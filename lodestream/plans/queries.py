@@ -9,7 +9,7 @@ from lodestream.functions import scalars as S
 from lodestream.operators import changelog, incremental, joins, quality, scd2
 from lodestream.operators.windows import following
 from lodestream.plans import bindings as B
-from lodestream.plans import intermediate, marts, serving, staging
+from lodestream.plans import intermediate, marts, serving, staging, stored_timeline
 from lodestream.plans.registered import ORACLE_SQL, QUERIES, longs, query, scratch
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
@@ -486,16 +486,30 @@ def timeline_by_category(spark, sf_dir):
     return _timeline(spark, sf_dir).groupBy("event_category").agg(F.count("*").alias("n"), F.sum("amount_cents").alias("cents"), F.count_distinct("customer_id").alias("customers"), F.max("occurred_at").cast("timestamp_ntz").alias("newest"))
 
 
-@query(
+_PAGE = (
     _TIMELINE
     + """, page AS (SELECT * FROM timeline WHERE customer_id = 7 AND (occurred_at, reference_id) < (TIMESTAMP '2000-01-01', 'a') ORDER BY occurred_at DESC, reference_id DESC LIMIT 26)
 SELECT occurred_at, event_category, event_type, reference_id, amount_cents, currency_code, detail, (SELECT count(*) FROM page) > 25 AS has_more FROM page ORDER BY occurred_at DESC, reference_id DESC LIMIT 25"""
 )
+
+
+@query(_PAGE)
 def timeline_page(spark, sf_dir):
     out = serving.timeline_page(_timeline(spark, sf_dir), 7, 25, ("2000-01-01 00:00:00", "a"))
     return out.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
 
 
+@query(_PAGE)
+def timeline_page_stored(spark, sf_dir):
+    """The same page from the stored timeline, of which one bucket is opened; some customers' events came in a second step."""
+    path, events = f"{scratch(spark)}/timeline", _timeline(spark, sf_dir)
+    late = F.col("customer_id") % 7 == 0
+    stored_timeline.store_timeline(spark, path, events.filter(~late | (F.col("occurred_at") < F.lit("1996-01-01").cast("timestamp"))), buckets=16)
+    stored_timeline.update_timeline(spark, path, events.filter(late), events.filter(late))
+    out = stored_timeline.stored_page(spark, path, 7, 25, ("2000-01-01 00:00:00", "a"))
+    return out.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
+
+
 @query(f"WITH {B.PAYMENTS} SELECT CAST(refund_lag_days AS BIGINT) AS lag_days, count(*) AS n, CAST(21 - refund_lag_days AS BIGINT) AS headroom_days FROM paid WHERE refund_lag_days IS NOT NULL GROUP BY refund_lag_days")
 def lag_histogram(spark, sf_dir):
     return longs(serving.lag_histogram(_paid(spark, sf_dir)), "lag_days", "headroom_days")

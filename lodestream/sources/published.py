@@ -50,9 +50,9 @@ def row_hash(schema: T.StructType, without: Iterable[str] = ()) -> Column:
     return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
-def measured(df: DataFrame, by: list[str]) -> DataFrame:
-    """(by, rows, fingerprint) of ``df``; the fingerprint is the sum of row hashes, so those of two sets of rows add up."""
-    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(row_hash(df.schema, by).cast("decimal(38,0)")).alias("fingerprint"))
+def measured(df: DataFrame, by: list[str], grouped: list[str] | None = None) -> DataFrame:
+    """(by, rows, fingerprint) of ``df``, or by ``grouped``; the fingerprint is the sum of row hashes, without the columns ``by``, so those of two sets of rows add up."""
+    return df.groupBy(*(grouped or by)).agg(F.count("*").alias("rows"), F.sum(row_hash(df.schema, by).cast("decimal(38,0)")).alias("fingerprint"))
 
 
 class Published:
@@ -137,6 +137,12 @@ class Published:
         known = self.schema
         return out.select(*(F.col(c).cast(known[c].dataType if known else "string").alias(c) for c in self.by), "files", "rows", "fingerprint")
 
+    def tallied(self, column: str) -> DataFrame:
+        """(column, rows) over all directories as their writer counted them: no data file is opened."""
+        live = {} if self._state is None else self._state["live"]
+        rows = [(v, n) for x in live.values() for v, n in x.get("tally", ())]
+        return self._spark.createDataFrame(rows, T.StructType([T.StructField(column, T.StringType()), T.StructField("rows", T.LongType())])).groupBy(column).agg(F.sum("rows").alias("rows"))
+
     def unproven(self, keys: set[Key] | None = None) -> DataFrame:
         """Directories whose rows are not what the manifest says, read again now; only those with ``keys`` if given. Empty is well."""
         said = self.stored().filter("rows is not null")
@@ -158,13 +164,15 @@ class Published:
         notes: dict[str, Any] | None = None,
         keep: int = 0,
         on_step: Callable[[str], None] | None = None,
+        tally: str | None = None,
     ) -> None:
         """Put ``rows`` in the place of the directories ``touched`` (None: of the whole table), in one step for readers.
 
         ``rows`` may read this table and must lie in touched directories only; a touched directory without rows is gone
         afterwards. ``schema`` is the table's from now on, by default that of ``rows``. Replaced files stay for the next
         ``keep`` replacements, for readers that began before this one: they are not live, but reads of the bare folder
-        would see them. ``on_step`` hears the name of each of STEPS before it begins.
+        would see them. ``on_step`` hears the name of each of STEPS before it begins. ``tally`` names a
+        column of few values, whose rows are counted by directory and kept too, see :meth:`tallied`.
         """
         tell = on_step or (lambda step: None)
         whole = T.StructType([f for f in (schema or rows.schema) if f.name not in self.by] + [f for f in (schema or rows.schema) if f.name in self.by])
@@ -189,10 +197,16 @@ class Published:
                 fresh.setdefault(f.rpartition("/")[0], {"files": []})["files"].append(f.rpartition("/")[2])
         if fresh:
             new = [f"{self.path}/{d}/{f}" if d else f"{self.path}/{f}" for d, x in fresh.items() for f in x["files"]]
-            counted = measured(self._spark.read.schema(whole).option("basePath", self.path).parquet(*new), self.by)
-            found = {tuple(r[:-2]): r for r in counted.select(*(F.col(c).cast("string") for c in self.by), "rows", "fingerprint").collect()}
+            by = [*self.by, *([tally] if tally else [])]
+            counted = measured(self._spark.read.schema(whole).option("basePath", self.path).parquet(*new), self.by, by)
+            found: dict[Key, list] = {}
+            for r in counted.select(*(F.col(c).cast("string") for c in by), "rows", "fingerprint").collect():
+                found.setdefault(tuple(r)[: len(self.by)], []).append(r)
             for d, x in fresh.items():
-                x |= {"rows": found[directory_key(d)]["rows"], "fingerprint": str(found[directory_key(d)]["fingerprint"])} if directory_key(d) in found else {"rows": 0, "fingerprint": "0"}
+                own = found.get(directory_key(d), [])
+                x |= {"rows": sum(r["rows"] for r in own), "fingerprint": str(sum(r["fingerprint"] for r in own))}
+                if tally:
+                    x["tally"] = [[r[len(self.by)], r["rows"]] for r in own]
         if sum(x["rows"] for x in fresh.values()) != seen.get["n"]:
             raise ValueError("rows outside the touched directories, or files that cannot be read back")
         gone = [f"{d}/{f}" if d else f for d in hit for f in state["live"][d]["files"]]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestream.operators.changelog import union_by_offset
-from lodestream.operators.incremental import fingerprint
+from lodestream.operators.incremental import exists, fingerprint
 from lodestream.operators.schema_guard import IncompatibleSchema, classify, conform
+from lodestream.schema import struct
 from lodestream.sources.published import Published, key_values
 
 #: Offsets of one block; an offset always falls into the same directory.
@@ -65,7 +66,7 @@ def write_batch(batch: DataFrame, path: str, delivery: list[str] | None = None,
         prior = conform(table.read(touched), schema) if table.exists else spark.createDataFrame([], schema)
         merged = conform(union_by_offset(prior, new, delivery), schema)
         placed_rows = merged.repartition(*(F.col(c) for c in LAYOUT)).sortWithinPartitions(*LAYOUT, "_kafka_offset")
-        table.replace(placed_rows, touched, schema, WRITER, keep=keep, on_step=on_step)
+        table.replace(placed_rows, touched, schema, WRITER, keep=keep, on_step=on_step, tally="_op" if "_op" in schema.names else None)
     finally:
         new.unpersist()
 
@@ -88,6 +89,24 @@ def kept_checksums(spark: SparkSession, path: str) -> DataFrame:
     return raw_table(spark, path).stored()
 
 
+def kept_by_op(spark: SparkSession, path: str) -> DataFrame:
+    """(op, records) of a raw table as its writer counted them: rows that a later delivery replaced are not counted twice, and no data file is opened."""
+    return raw_table(spark, path).tallied("_op").select(F.col("_op").alias("op"), F.col("rows").alias("records"))
+
+
+METRICS = struct("batch string, records long, c long, u long, d long, r long, newest timestamp")
+
+
+def batch_metrics(spark: SparkSession, path: str, batch: str, seen: dict) -> None:
+    """Keep what was observed of one batch; a batch that is run again replaces its own."""
+    row = spark.createDataFrame([tuple(seen.get(f.name) if f.name != "batch" else batch for f in METRICS)], METRICS)
+    row.coalesce(1).write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{path}/_batch={batch}")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS).json(path) if exists(spark, path) else spark.createDataFrame([], METRICS)
+
+
 def batch_id(batch: DataFrame) -> str:
     """A name for a batch of broker records: the same records in any order, as a retry gives them, have the same one."""
     total = F.sum(F.xxhash64("topic", "partition", "offset").cast("decimal(38,0)"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -18,7 +18,7 @@ from lodestream.operators.changelog import META, parse_events, typed, unparseabl
 from lodestream.operators.schema_guard import IncompatibleSchema, Registry, audit_rows, batch_shape, classify
 from lodestream.operators.touched import write_keys
 from lodestream.schema import quoted, struct
-from lodestream.sources.sinks import append_audit, batch_id, dead_batch, dead_records, write_batch
+from lodestream.sources.sinks import append_audit, batch_id, batch_metrics, dead_batch, dead_records, write_batch
 
 #: What a source must give: the columns of a message broker.
 RECORD = struct("value string, topic string, partition int, offset long, timestamp timestamp")
@@ -81,7 +81,12 @@ def handle(batch: DataFrame, table: str, payload: T.StructType | None, registry:
     whole = typed(rows, verdict.merged)
     # Of one offset's copies in a batch the last delivered wins.
     order = [DELIVERY] if DELIVERY in whole.columns else []
-    write_batch(whole.select(*map(quoted, [*verdict.merged.names, *META.names, *order])), f"{root}/{table}", order, 1)
+    landing = whole.select(*map(quoted, [*verdict.merged.names, *META.names, *order]))
+    # Counted while the batch flows by: no scan of the table, and no action more.
+    seen = Observation()
+    of_op = (F.count_if(F.col("_op") == op).alias(op) for op in ("c", "u", "d", "r"))
+    write_batch(landing.observe(seen, F.count(F.lit(1)).alias("records"), *of_op, F.max("_ingested_at").alias("newest")), f"{root}/{table}", order, 1)
+    batch_metrics(spark, f"{root}/_metrics/{table}", name, seen.get)
     return whole
 
 
