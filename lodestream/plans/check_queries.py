@@ -39,6 +39,30 @@ def dq_fact_against_staging(spark, sf_dir):
     return quality.fact_against_staging(orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"), orders)
 
 
+@query(
+    """SELECT f AS fact_rows, s AS staging_rows, 'loss: a join or filter dropped rows' AS likely_cause
+FROM (SELECT count(*) FILTER (o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) AS f, count(*) AS s FROM orders) WHERE f <> s"""
+)
+def dq_fact_lost_rows(spark, sf_dir):
+    """A fact whose inner join drops the orders that had nothing returned."""
+    orders = B.read(spark, sf_dir, "orders")
+    lines = B.read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey")
+    return quality.fact_against_staging(orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"), orders)
+
+
+@query(
+    """WITH daily AS (SELECT CAST(ts AS DATE) AS date_day, round(sum(CASE WHEN event_type IN ('signup', 'purchase') THEN value ELSE -value END) * 100) AS mrr_cents FROM events GROUP BY 1),
+stepped AS (SELECT *, lag(mrr_cents) OVER (ORDER BY date_day) AS before_cents FROM daily)
+SELECT date_day, mrr_cents, before_cents, CASE WHEN mrr_cents < 0 THEN 'negative' ELSE 'jump' END AS reason FROM stepped
+WHERE mrr_cents < 0 OR (before_cents >= 1000 AND abs(mrr_cents - before_cents) > 0.4 * before_cents)"""
+)
+def dq_mrr_negative(spark, sf_dir):
+    """Both branches of the rule over a series of events that add and events that take away."""
+    signed = F.when(F.col("event_type").isin("signup", "purchase"), F.col("value")).otherwise(-F.col("value"))
+    daily = B.read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date_day")).agg(F.round(F.sum(signed) * 100).alias("mrr_cents"))
+    return quality.absurd_mrr(daily, floor=1000).select("date_day", "mrr_cents", "before_cents", "reason")
+
+
 @query("SELECT o_orderpriority AS value, count(*) AS n_records FROM orders WHERE o_orderkey % 10 < 8 AND o_orderpriority NOT IN ('USD', 'EUR', 'GBP') GROUP BY 1")
 def dq_unknown_currency(spark, sf_dir):
     """The vocabulary of currencies over a column that holds priorities for most orders."""

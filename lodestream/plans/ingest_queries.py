@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -440,6 +440,15 @@ def directory_checksums(spark, sf_dir):
     return longs(fingerprint(sinks.read_table(spark, path).drop("_ingested_at"), sinks.LAYOUT, portable=True), "_kafka_partition", "_offset_block")
 
 
+@query(f"WITH {B.CHANGE_LOG} SELECT CAST(_ingested_at AS DATE) AS _ingested_date, CAST(_kafka_partition AS BIGINT) AS _kafka_partition, count(*) AS rows, 0 AS out_of_order FROM change_log GROUP BY ALL")
+def raw_file_order(spark, sf_dir):
+    """Rows of each directory, and how many lie in their file behind one with a larger offset: the order as the files have it."""
+    rows = sinks.read_table(spark, _landed(spark, sf_dir)).select("_ingested_date", "_kafka_partition", "_kafka_offset", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("_kafka_offset").over(Window.partitionBy("file").orderBy("at"))
+    counted = rows.withColumn("before", before).groupBy("_ingested_date", "_kafka_partition").agg(F.count("*").alias("rows"), F.count_if(F.col("before") >= F.col("_kafka_offset")).alias("out_of_order"))
+    return longs(counted, "_kafka_partition")
+
+
 @query(f"WITH {B.CHANGE_LOG} SELECT CAST(_ingested_at AS DATE) AS day, count(DISTINCT (_kafka_partition, _kafka_offset // 100000)) AS objects, count(*) AS rows FROM change_log GROUP BY 1")
 def partition_manifest(spark, sf_dir):
     """Files and rows of each day: one file a directory."""

@@ -456,6 +456,21 @@ def date_dimension(spark, sf_dir):
     return longs(out.select("date_day", "date_key", "year_month", "day_name", "month_name", "week_start_date", "quarter_start_date", "is_weekend", *numbers), *numbers)
 
 
+@query(
+    """WITH spine AS (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate) - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM orders),
+busy AS (SELECT CAST(o_orderdate AS DATE) AS d, 'order ' || min(o_orderkey) AS name, min(o_orderkey) % 2 = 0 AS affects, CASE WHEN min(o_orderkey) % 3 = 0 THEN 'GLOBAL' ELSE 'DE' END AS country FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+SELECT s.d AS date_day, b.d IS NOT NULL AS is_holiday, name AS holiday_name, coalesce(affects, FALSE) AS holiday_affects_volume FROM spine s LEFT JOIN busy b ON s.d = b.d AND country = 'GLOBAL'"""
+)
+def date_dimension_holidays(spark, sf_dir):
+    """The calendar with holidays: days with urgent orders, of which every third is one of all countries."""
+    orders = B.read(spark, sf_dir, "orders")
+    low, high = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    first = orders.filter("o_orderpriority = '1-URGENT'").groupBy(F.to_date("o_orderdate").alias("holiday_date")).agg(F.min("o_orderkey").alias("k"))
+    country = F.when(F.col("k") % 3 == 0, "GLOBAL").otherwise("DE")
+    holidays = first.select("holiday_date", F.concat(F.lit("order "), "k").alias("holiday_name"), country.alias("country_code"), (F.col("k") % 2 == 0).alias("affects_volume"))
+    return marts.dim_date(spark, B.AS_OF, holidays, str(low), str(high)).select("date_day", "is_holiday", "holiday_name", "holiday_affects_volume")
+
+
 # --- serving ------------------------------------------------------------------------------------
 
 
