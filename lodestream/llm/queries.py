@@ -19,10 +19,12 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts of every document; nulls are empty, repeated rows stay."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, by the drawn copies; a null source is one of its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
     # A row is taken once for each shard that it is dealt to.
@@ -30,38 +32,45 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the rules' spans and those that the network adds; nulls are empty."""
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.fitted(docs))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; wordless and null texts have fingerprint zero."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector; vectors that are no directions link with nothing."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document by near equal bytes; equal texts stay together."""
     return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from the labels of the rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"))))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole document; nulls are empty."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(), limit=512)
 
 
 def op9_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # No table holds sound, so Spark derives a recording from every vector of `embeddings`.
+    """Queries that fit each recording. No table holds sound, so Spark derives a recording from every vector of `embeddings`."""
     recordings = audio.sonified(table(spark, sf_dir, "embeddings"))
     return audio.align(audio.fingerprints(recordings, key="vec_id"), key="vec_id")
 
 
 def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice score of every document, learned from the words of those that are not held out."""
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
 
 
