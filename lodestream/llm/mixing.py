@@ -23,17 +23,25 @@ from lodestream.llm.shared import WORD, text_of, written
 
 #: Blocks of one segment, and places of the draws that a task deals at once.
 SEGMENT, PLACES = 1 << 10, 1 << 14
+#: numpy's hypergeometric law takes fewer draws than this.
+MOST_DRAWS = 10**9
 #: Weights of the sources in code point order, over and over.
 WEIGHTS = (5, 2, 1)
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Words and rows that a block holds on average at most, and words of a shard. numpy's hypergeometric law takes fewer than 10**9 block draws in all."""
+    """Words and rows that a block holds on average at most, and words of a shard.
+
+    Small tables are cut finer: a source has at least ``least_blocks`` blocks, or one a row, and the mix ``least_shards`` shards,
+    or one a draw.
+    """
 
     block_words: int = 1 << 16
     block_rows: int = 1 << 12
     shard_words: int = 4_000_000
+    least_blocks: int = 32
+    least_shards: int = 16
 
 
 @dataclass(frozen=True)
@@ -145,7 +153,7 @@ def _plan(slim: DataFrame, weight: Callable[[int], float], cap: float, sizes: Si
     found = slim.groupBy("_source").agg(F.sum("_size").alias("size"), F.count("*").alias("rows")).collect()
     found.sort(key=lambda r: (r["_source"] is None, r["_source"] or ""))
     wanted = targets([r["size"] for r in found], [weight(k) for k in range(len(found))], cap)
-    blocks = [max(1, -(-r["size"] // sizes.block_words), -(-r["rows"] // sizes.block_rows)) for r in found]
+    blocks = [max(1, -(-r["size"] // sizes.block_words), -(-r["rows"] // sizes.block_rows), min(sizes.least_blocks, r["rows"])) for r in found]
     full = [int(t // r["size"]) if r["size"] else 0 for r, t in zip(found, wanted, strict=True)]
     rest = [round(t - f * r["size"]) for r, t, f in zip(found, wanted, full, strict=True)]
     names = _local(spark, [(r["_source"], k, b) for k, (r, b) in enumerate(zip(found, blocks, strict=True))], pa.schema([("_source", pa.string()), ("index", pa.int32()), ("blocks", pa.int64())]))
@@ -243,7 +251,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0,
     spark = docs.sparkSession
     fields = [("_plan_source", pa.string()), ("_index", pa.int32()), ("_source_size", pa.int64()), ("_target", pa.float64()), ("_blocks", pa.int64()), ("_full", pa.int32()), ("_partial", pa.int64()), ("_picked", pa.list_(pa.int64()))]
     plan = _local(spark, [(p.source, p.index, p.size, p.target, p.blocks, p.full, p.partial, list(p.picked)) for p in plans], pa.schema(fields))
-    shards = max(1, math.ceil(sum(p.size for p in plans) / sizes.shard_words))
+    draws = sum(p.draws for p in plans)
+    if draws >= MOST_DRAWS:
+        raise ValueError(f"{draws} block draws, and the hypergeometric law takes fewer than {MOST_DRAWS}: set larger sizes.block_words and sizes.block_rows")
+    shards = max(1, math.ceil(sum(p.size for p in plans) / sizes.shard_words), min(sizes.least_shards, draws))
     deal = written(dealt(spark, plans, shards, seed), "mix-shards").select(F.col("index").alias("_index"), F.col("block").alias("_block"), F.col("shards").alias("_shards"))
     # Of the block in which a pass ends, all draws but the last are for every row.
     own = (F.col("_block") != F.col("_partial")) | F.array_contains("_picked", F.col("_order"))

@@ -239,6 +239,32 @@ def test_mix(spark, documents, edge):
     assert mixing.mix(edge).count() == edge.count() and mixing.mixed_rows(edge.limit(0)).count() == 0 and mixing.mix(edge.limit(0)).count() == 0
 
 
+def test_small_tables_are_mixed_by_the_tree_too(spark, documents):
+    """At the smallest size each source has many blocks, their draws are spread over many shards by the tree, and the last one only is filled by rows."""
+    docs = documents.select("doc_id", "text", "source")
+    sized = mixing._sized(docs, "doc_id", "text", "source", 11)
+    plans = mixing._plan(sized.select("_source", "_size", "_order"), lambda k: mixing.WEIGHTS[k % 3], 3.0, mixing.Sizes())
+    rows_of = dict(map(tuple, docs.groupBy("source").count().collect()))
+    assert all(p.blocks >= min(32, rows_of[p.source]) for p in plans) and sum(p.draws for p in plans) > 100
+    quotas = np.array([p.draws for p in plans])
+    want = np.stack([np.bincount(mixing.shards_at(quotas, 16, p.index, 0, p.draws, 11), minlength=16) for p in plans])
+    drawn = mixing.dealt(spark, plans, 16, 11).collect()
+    got = np.zeros_like(want)
+    for r in drawn:
+        np.add.at(got, (r["index"], r["shards"]), 1)
+    assert (got == want).all() and np.ptp(got.sum(axis=0)) <= 1 and (got.sum(axis=1) == quotas).all()
+    # Every shard's blocks are drawn at random: its rows do not follow the order of the blocks.
+    first = [r["block"] for r in drawn if r["index"] == 0 and r["shards"][0] == 0]
+    assert first and max(first) - min(first) >= len(first)
+    assert {k for r in mixing.mix(docs).collect() for k in r["shards"]} == set(range(16))
+
+
+def test_too_many_draws_are_refused(spark, documents, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_DRAWS", 10)
+    with pytest.raises(ValueError, match="block draws"):
+        mixing.mix(documents.select("doc_id", "text", "source"))
+
+
 def test_shards_hold_disjoint_draws_of_their_quotas(spark):
     plans = [mixing.SourcePlan("a", 0, 900, 2400.0, 30, 2, 20, ()), mixing.SourcePlan("b", 1, 10, 5.0, 7, 0, 3, (5,)), mixing.SourcePlan(None, 2, 0, 0.0, 1, 0, 0, ())]
     rows = mixing.dealt(spark, plans, 6, 3).collect()
