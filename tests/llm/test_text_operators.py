@@ -243,6 +243,37 @@ def test_recall_alone_sets_the_threshold(monkeypatch):
     assert 0.2 <= net.threshold < 0.23
 
 
+def test_a_network_that_cannot_hold_its_false_share_adds_nothing(spark):
+    """Findings like ordinary words, or too few rows to know the share by: the rules' spans stay alone."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghilmnorstu") for _ in range(n))
+    few = [(i, f"{word(7)} {word(12)} token = {word(9)}{i}X7 {word(5)} first.last{i}@mail{i}.example.com") for i in range(12)]
+    alike = [(i, f"{word(7)} {word(12)} token = {word(12)} {word(5)} {word(9)}Q{i}") for i in range(400)]
+    for rows in (few, alike):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        net = secret_scan.fitted(docs)
+        assert not net.adds and net.likely_alarms > secret_scan.Fit().alarms and 0 < min(net.aside)
+        out = secret_scan.scan(docs, net).agg(F.sum("n_learned"), F.sum("n_assign")).first()
+        assert tuple(out) == (0, len(rows))
+
+
+def test_folds_part_values_and_train_alike_in_tasks(spark):
+    rng = np.random.default_rng(4)
+    found = np.repeat(rng.integers(2, 96, (40, secret_scan.WINDOW), dtype=np.uint8), 3, axis=0)
+    plain = rng.integers(2, 96, (50, secret_scan.WINDOW), dtype=np.uint8)
+    fit = secret_scan.Fit(epochs=1)
+    x, y, fold = secret_scan.examples(found, plain[:0], plain, fit)
+    assert len(x) == len(y) == len(fold) and set(fold) == set(range(fit.folds))
+    assert all(len(set(fold[k : k + 3])) == 1 for k in range(0, 120, 3)) and (fold[-50:] == fold[-100:-50]).all()
+    here, there = (secret_scan.train(found, plain[:0], plain, fit, session) for session in (None, spark))
+    assert here.aside == there.aside and here.threshold == pytest.approx(there.threshold) and here.embed == pytest.approx(there.embed)
+
+
+def test_likely_share():
+    assert secret_scan._likely_share(0, 0) == 1 and 0.02 < secret_scan._likely_share(0, 100) < 0.03
+    assert secret_scan._likely_share(5, 100) > 0.05 and secret_scan._likely_share(100, 100) == pytest.approx(1)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(rng.randint(1, 4)))
