@@ -2,8 +2,9 @@
 
 A recording's spectrum is folded into pitch classes frame by frame. Sixteen filters, differences of rectangles over the
 frames by pitch classes, are read off an integral image; each answer becomes two bits of a Gray code, so every window of
-frames gives one packed 32-bit integer. Two recordings are judged by the share of differing bits over the overlap, at every
-offset: at the share of errors allowed, two recordings may have no equal integer to look up.
+frames gives one packed 32-bit integer. Two recordings are aligned by a histogram of offsets, into which every equal run of
+six filters' codes votes: where a quarter of the bits differ, whole integers seldom agree, while such runs do. The share of
+differing bits is taken at every offset whose bar is high enough for its overlap, and the offset of the least one counts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from lodestream.llm.shared import written
 CLASSES, SPAN = 12, 16
 #: Numbers of one array while recordings are aligned.
 TILE = 1 << 21
+#: Runs of six filters in a print.
+RUNS = 4
 
 
 @dataclass(frozen=True)
@@ -39,8 +42,11 @@ class Print:
     #: Largest share of differing bits, and least overlap as a share of the shorter recording.
     most_errors: float = 0.25
     least_overlap: float = 0.5
-    #: Different queries that go to the tasks at once.
+    #: Equal runs for each overlapping integer, of four, that a bar needs for its offset to be judged.
+    votes: float = 0.08
+    #: Different queries, and their integers, that go to the tasks at once.
     block: int = 2000
+    block_prints: int = 1 << 22
 
 
 def _filters() -> list[tuple[int, int, int, int]]:
@@ -112,6 +118,118 @@ def fingerprints(recordings: DataFrame, p: Print = Print(), key: str = "id", pcm
     return recordings.select(key, pcm).mapInArrow(run, schema)
 
 
+@dataclass
+class _Runs:
+    """An index of some queries' runs: for each of ``RUNS`` times 4096 codes, a run at its place, where the queries have it."""
+
+    numbers: np.ndarray
+    flat: np.ndarray
+    begins: np.ndarray
+    lengths: np.ndarray
+    #: The query of each run, by code, and the bar that a vote of a row's first place goes to, over rows of one integer.
+    owner: np.ndarray
+    bar: np.ndarray
+    first: np.ndarray
+    #: Over rows of ``width`` integers: the bar of each run, and of each bar its query, its offset, and the votes that it needs.
+    width: int = 0
+    wide: np.ndarray | None = None
+    query: np.ndarray | None = None
+    offset: np.ndarray | None = None
+    needed: np.ndarray | None = None
+
+    @staticmethod
+    def of(numbers: np.ndarray, queries: list[np.ndarray]) -> _Runs:
+        own = [queries[k] for k in numbers]
+        lengths = np.array([len(x) for x in own])
+        begins = np.cumsum(lengths) - lengths
+        owner, flat = np.repeat(np.arange(len(own)), lengths), np.concatenate(own).view(np.uint32)
+        bar = 2 * begins[owner] + lengths[owner] - 1 - np.arange(len(flat))
+        codes = _codes(flat)
+        order = np.argsort(codes, kind="stable")
+        return _Runs(numbers, flat, begins, lengths, owner[order // RUNS], bar[order // RUNS], np.searchsorted(codes[order], np.arange(RUNS * 4096 + 1)))
+
+    def widen(self, n: int, p: Print) -> None:
+        """Make ready for rows of ``n`` integers; offsets with too little overlap need more votes than there are."""
+        if self.width == n:
+            return
+        self.width, self.wide = n, self.bar + self.owner * (n - 1)
+        bars = self.lengths + n - 1
+        self.query = np.repeat(np.arange(len(bars)), bars)
+        length = self.lengths[self.query]
+        self.offset = np.arange(bars.sum()) - np.repeat(np.cumsum(bars) - bars, bars) - length + 1
+        both = np.minimum(n - np.maximum(0, self.offset), length - np.maximum(0, -self.offset))
+        enough = both >= np.maximum(1, p.least_overlap * np.minimum(n, length))
+        self.needed = np.where(enough, np.maximum(1, np.ceil(p.votes * both)), RUNS * n + 1).astype(np.int64)
+
+    def bars(self, x: np.ndarray) -> np.ndarray:
+        """Equal runs of a row of ``width`` integers and each query by offset; query ``q`` has ``lengths[q] + width - 1`` bars, one after the other."""
+        codes = _codes(x)
+        counts = self.first[codes + 1] - self.first[codes]
+        ends, place = np.cumsum(counts), np.arange(len(codes)) // RUNS
+        out, start = None, 0
+        while start < len(codes):
+            before = ends[start - 1] if start else 0
+            own = slice(start, max(start + 1, int(np.searchsorted(ends, TILE + before, side="right"))))
+            at = np.repeat(self.first[codes[own]] - (ends[own] - counts[own] - before), counts[own]) + np.arange(counts[own].sum())
+            part = np.bincount(self.wide[at] + np.repeat(place[own], counts[own]), minlength=len(self.query))
+            out, start = part if out is None else out + part, own.stop
+        return out
+
+
+def _codes(prints: np.ndarray) -> np.ndarray:
+    """The runs of each integer: twelve bits, six filters, from every eighth bit on, around the end, each told from the others by its place."""
+    turned = [(prints >> np.uint32(8 * k) | prints << np.uint32(32 - 8 * k) if k else prints) & np.uint32(4095) for k in range(RUNS)]
+    return (np.stack(turned, axis=1).astype(np.int64) + np.arange(RUNS) * 4096).ravel()
+
+
+class Histograms:
+    """Alignment of rows with a block of queries by histograms of offsets. No recording may be empty."""
+
+    def __init__(self, queries: list[np.ndarray], p: Print = Print()):
+        self.queries, self.p = queries, p
+        self.lengths = np.array([len(q) for q in queries], dtype=np.int64)
+        self.parts: dict[int, list[_Runs]] = {}
+
+    def _parts(self, n: int) -> list[_Runs]:
+        """The queries in parts, so that histograms and votes of a row of up to ``n`` integers stay small: long rows meet few queries at once."""
+        if n not in self.parts and len(self.lengths):
+            heavy = np.cumsum(np.maximum(self.lengths, 1) * n // 32 + self.lengths + n) // TILE
+            self.parts[n] = [_Runs.of(own, self.queries) for own in np.split(np.arange(len(self.lengths)), np.flatnonzero(np.diff(heavy)) + 1)]
+        return self.parts.get(n, [])
+
+    def aligned(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, query, share of differing bits, offset) of every pair that fits at an offset with enough votes, by number.
+
+        Of a pair's offsets the one of the least share counts, of equal shares the one nearest to zero.
+        """
+        out = [[np.zeros(0, np.int64)] * 2 + [np.zeros(0)] + [np.zeros(0, np.int64)]]
+        for k in sorted(range(len(rows)), key=lambda k: len(rows[k])):
+            for part in self._parts(1 << (len(rows[k]) - 1).bit_length()):
+                query, share, offset = self._judged(np.ascontiguousarray(rows[k]).view(np.uint32), part)
+                out.append([np.full(len(query), k), query, share, offset])
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def _judged(self, x: np.ndarray, part: _Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p, n = self.p, len(x)
+        part.widen(n, p)
+        hit = np.flatnonzero(part.bars(x) >= part.needed)
+        q, offset = part.query[hit], part.offset[hit]
+        both = np.minimum(n - np.maximum(0, offset), part.lengths[q] - np.maximum(0, -offset))
+        share, cuts = np.zeros(len(q)), np.flatnonzero(np.diff(np.cumsum(both) // TILE)) + 1
+        for own in np.split(np.arange(len(q)), cuts):
+            if len(own):
+                ends = np.cumsum(both[own])
+                within = np.arange(ends[-1]) - np.repeat(ends - both[own], both[own])
+                mine = x[np.repeat(np.maximum(0, offset[own]), both[own]) + within]
+                theirs = part.flat[np.repeat(part.begins[q[own]] + np.maximum(0, -offset[own]), both[own]) + within]
+                share[own] = np.add.reduceat(np.bitwise_count(mine ^ theirs).astype(np.int64), ends - both[own]) / (32 * both[own])
+        fits = share <= p.most_errors
+        q, offset, share = q[fits], offset[fits], share[fits]
+        order = np.lexsort((offset, np.abs(offset), share, q))
+        best = order[np.flatnonzero(np.diff(q[order], prepend=-1))]
+        return part.numbers[q[best]], share[best], offset[best]
+
+
 def _spectra(prints: list[np.ndarray], n: int, kind: type) -> np.ndarray:
     """(frequencies, recordings, 32): spectra of each bit as a signal of ones and minus ones, zeros after its end."""
     signal = np.zeros((len(prints), 32, n), dtype=kind)
@@ -122,7 +240,7 @@ def _spectra(prints: list[np.ndarray], n: int, kind: type) -> np.ndarray:
 
 
 def alignments(rows: list[np.ndarray], queries: list[np.ndarray], p: Print) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, query, share of differing bits, offset) of every pair that fits, by number, at its best offset.
+    """(row, query, share of differing bits, offset) of every pair that fits, by number, at its best offset: the exhaustive search, by which :class:`Histograms` is measured.
 
     All offsets of all pairs are judged: the sum over the bits of their cross-correlations, taken by way of the spectra,
     is the count of equal bits less that of differing ones. Of equal shares the offset nearest to zero counts. No recording may be empty.
@@ -171,7 +289,7 @@ def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 1
     """(key, n_prints, prints_sha256, match_id, match_offset, bit_errors, matches) of each recording.
 
     Queries are the rows whose key is divisible by ``every``; all rows are searched for them, in blocks of ``p.block``
-    different recordings. ``matches`` lists every other query that fits the row as (bit_errors, match_id, match_offset), the
+    different recordings by histograms of offsets. ``matches`` lists every other query found to fit the row as (bit_errors, match_id, match_offset), the
     best one first: match_offset says by how many prints the row starts earlier. Queries with equal prints are one entry,
     under the smallest id that is not the row's own; they share prints_sha256. The three columns before repeat the first
     entry; they are null, and the list is empty, where no query fits. A row without prints or with a null key is no query; a
@@ -197,10 +315,11 @@ def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 1
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, theirs = sent.value
+            histograms = Histograms(theirs, p)
             for batch in batches:
                 own, mine = batch.column("_id").to_pylist(), [x.values.to_numpy() for x in batch.column("prints")]
                 full = [k for k, x in enumerate(mine) if len(x)]
-                row, query, share, offset = alignments([mine[k] for k in full], theirs, p)
+                row, query, share, offset = histograms.aligned([mine[k] for k in full])
                 row = np.array(full, dtype=np.int64)[row]
                 other = [ids[q][own[r] == ids[q][0]] for r, q in zip(row.tolist(), query.tolist(), strict=True)]
                 cols = [batch.column("_row").take(pa.array(row)), pa.array(share), pa.array(other, pa.int64()), pa.array(offset, pa.int32())]
@@ -209,12 +328,13 @@ def align(prints: DataFrame, p: Print = Print(), key: str = "id", every: int = 1
 
         return numbered.select("_row", "_id", "prints").mapInArrow(run, fit)
 
-    found, block = None, []
+    found, block, held = None, [], 0
     for r in queries.toLocalIterator():
         block.append(r)
-        if len(block) == p.block:
+        held += len(r["prints"])
+        if len(block) == p.block or held >= p.block_prints:
             part = search(block)
-            found, block = part if found is None else found.union(part), []
+            found, block, held = part if found is None else found.union(part), [], 0
     if block or found is None:
         part = search(block)
         found = part if found is None else found.union(part)

@@ -343,6 +343,47 @@ def test_alignments_equal_brute_force():
     assert all((4 + 2 * k + c, k) in want for k in range(4) for c in range(2))
 
 
+def test_histogram_bars_count_equal_runs(monkeypatch):
+    rng = np.random.default_rng(7)
+    queries = [rng.integers(0, 1 << 32, n, dtype=np.uint32) for n in (1, 7, 20)]
+    runs = audio._Runs.of(np.arange(3), queries)
+    for tile in (audio.TILE, 3):
+        monkeypatch.setattr(audio, "TILE", tile)
+        for row in (queries[2][4:], np.concatenate([queries[1], queries[0], queries[1] ^ np.uint32(1 << 13)]), rng.integers(0, 1 << 32, 1, dtype=np.uint32)):
+            want = []
+            for q in queries:
+                for s in range(1 - len(q), len(row)):
+                    pairs = [(int(row[i]), int(q[i - s])) for i in range(max(0, s), min(len(row), len(q) + s))]
+                    turn = lambda v, k: (v >> 8 * k | v << 32 - 8 * k) & 4095
+                    want.append(sum(turn(a, k) == turn(b, k) for a, b in pairs for k in range(4)))
+            runs.widen(len(row), audio.Print())
+            assert runs.bars(row).tolist() == want
+
+
+@pytest.mark.parametrize("tile", [audio.TILE, 500])
+def test_histograms_find_what_the_exhaustive_search_finds(monkeypatch, tile):
+    """Noisy, shifted and cut recordings: at least 0.9 of all pairs that fit, each at its best offset, and none that does not fit."""
+    rng = np.random.default_rng(11)
+    p, rows, queries = audio.Print(), [], []
+    made = lambda x: audio.packed(audio.chroma(x, p), p).view(np.int32)
+    for k in range(12):
+        notes = rng.integers(0, 24, int(rng.integers(30, 70)))
+        queries.append(made(tune(notes)))
+        for level in (0, 300, 1000, 2000):
+            cut = int(rng.integers(0, 8))
+            sound = tune(notes[cut:]).astype(float)
+            rows.append(made((sound + rng.normal(0, level + 1, len(sound))).clip(-32768, 32767).astype("<i2")))
+    rows += [made(tune(rng.integers(0, 24, 50))) for _ in range(20)] + [np.zeros(30, np.int32)]
+    monkeypatch.setattr(audio, "TILE", tile)
+    got, want = ({(r, q): (round(e, 9), s) for r, q, e, s in zip(*(x.tolist() for x in found), strict=True)} for found in (audio.Histograms(queries, p).aligned(rows), audio.alignments(rows, queries, p)))
+    assert len(want) >= 40 and set(got) <= set(want) and len(got) >= 0.9 * len(want)
+    assert sum(got[k] == want[k] for k in got) >= 0.95 * len(got)
+    # A row of one integer has four runs only: its equal is found, what is like it by chance need not be.
+    one = audio.Histograms(queries, p).aligned([queries[0][:1]])
+    assert (0, 0.0, 0) in set(zip(*(x.tolist() for x in one[1:]), strict=True))
+    assert audio.Histograms([], p).aligned(rows)[0].size == 0 and audio.Histograms(queries, p).aligned([])[0].size == 0
+
+
 def test_integral_image_equals_sums():
     image = np.random.default_rng(2).random((40, audio.CLASSES))
     p = audio.Print()
