@@ -44,12 +44,20 @@ def to_usd_cents(amount: Column, currency: Column, rate: Column) -> Column:
     return F.round(F.when(currency == "USD", amount.cast("double")).otherwise(converted)).cast("long")
 
 
-def resolve_utc(stated: Column, local: Column, zone: Column) -> Column:
+def resolve_utc(stated: Column, local: Column, zone: Column, later: bool = False) -> Column:
     """The stated instant, or else the local wall-clock text read in ``zone``; an unknown zone counts as UTC.
 
-    A local time that a clock change skips is moved forward, one that occurs twice is read as the earlier instant.
+    A local time that a clock change skips is moved forward. One that occurs twice is read as the earlier instant, or with
+    ``later`` as the later one, as SQL's AT TIME ZONE reads it.
     """
-    return F.coalesce(stated, F.to_utc_timestamp(F.to_timestamp(local), F.coalesce(zone, F.lit("UTC"))))
+    wall, at = F.to_timestamp(local), F.coalesce(zone, F.lit("UTC"))
+    first = F.to_utc_timestamp(wall, at)
+    if later:
+        # The wall clock by the offset of a day later: another instant of the same wall clock, or none.
+        day = F.expr("interval 24 hours")
+        second = F.to_utc_timestamp(wall + day, at) - day
+        first = F.when(F.from_utc_timestamp(second, at) == wall, F.greatest(first, second)).otherwise(first)
+    return F.coalesce(stated, first)
 
 
 def date_key(c: Column) -> Column:
