@@ -76,7 +76,8 @@ def normalise_status(spark, sf_dir):
 
 
 def _resolved(spark, sf_dir) -> DataFrame:
-    return intermediate.orders_resolved(staging.orders(B.raw_orders(spark, sf_dir)), B.customers(spark, sf_dir), B.fx_rates(spark, sf_dir))
+    # Local times east of UTC may lie in the month before the first order's.
+    return intermediate.orders_resolved(staging.orders(B.raw_orders(spark, sf_dir)), B.customers(spark, sf_dir), B.fx_rates(spark, sf_dir, before=1))
 
 
 @query(
