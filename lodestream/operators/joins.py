@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,18 +16,20 @@ _GRAINS = {
 }
 
 
-def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month") -> DataFrame:
+def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month", last: Any = None) -> DataFrame:
     """Each fact row with the version of its key whose half-open interval holds ``at``; an open end is null.
 
     Rows meet by key and calendar ``grain``: a version is repeated for each month, say, that it touches, so a key with
     very many facts and versions is spread over months, and a fact meets only its own month's versions. Months after the
     last begin or end of any version are one, so open ends stay short. Facts without a version stay, with nulls; versions that end before they
-    begin match nothing. ``columns`` are the version's columns to keep; they must not clash with fact's.
+    begin match nothing. ``columns`` are the version's columns to keep; they must not clash with fact's. ``last``, a moment that no version
+    begins or ends after, saves the job that looks for it.
     """
     keys = [on] if isinstance(on, str) else on
     keep = [c for c in versions.columns if c not in keys] if columns is None else columns
     number = _GRAINS[grain]
-    last = versions.agg(number(F.max(F.greatest(valid_from, F.coalesce(valid_to, valid_from))))).first()[0]
+    found = versions.agg(F.max(F.greatest(valid_from, F.coalesce(valid_to, valid_from))).alias("_last")) if last is None else versions.sparkSession.range(1).select(F.lit(last).alias("_last"))
+    last = found.select(number(F.col("_last"))).first()[0]
     clamp = lambda c: F.least(number(c), F.lit(last).cast("int"))
     whole = versions.filter(F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
     right = whole.select(
@@ -38,7 +42,8 @@ def asof_join(fact: DataFrame, versions: DataFrame, on: str | list[str], at: str
     inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     left = fact.withColumn("_f_grain", clamp(F.col(at)))
     same = [left[k] == right[f"_k_{k}"] for k in keys]
-    joined = left.join(right, [*same, left["_f_grain"] == right["_v_grain"], inside], "left")
+    # Sizes are guessed before versions are repeated: a guess that calls for a broadcast could fill the driver.
+    joined = left.join(right.hint("merge"), [*same, left["_f_grain"] == right["_v_grain"], inside], "left")
     return joined.drop(*(f"_k_{k}" for k in keys), "_from", "_to", "_f_grain", "_v_grain")
 
 
@@ -88,13 +93,13 @@ def changed_intervals(old: DataFrame, new: DataFrame, on: str | list[str], valid
 
 
 def asof_repair(
-    fact: DataFrame, old: DataFrame, new: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month"
+    fact: DataFrame, old: DataFrame, new: DataFrame, on: str | list[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", columns: list[str] | None = None, grain: str = "month", last: Any = None
 ) -> DataFrame:
     """The rows of ``fact``, which :func:`asof_join` gave over ``old`` versions, that ``new`` versions change, joined anew; the others are left out.
 
     Versions that came late or went are found by comparing the two sets; only facts whose moment lies within one of them are
-    joined again. ``columns`` are the version's columns in ``fact``, by default all that are not keys. The result is for an
-    upsert, see :func:`lodestream.operators.incremental.merge`.
+    joined again. ``columns`` are the version's columns in ``fact``, by default all that are not keys. The three tables are
+    read several times, so they should be stored ones. The result is for an upsert, see :func:`lodestream.operators.incremental.merge`.
     """
     keys = [on] if isinstance(on, str) else on
     keep = [c for c in new.columns if c not in keys] if columns is None else columns
@@ -102,14 +107,14 @@ def asof_repair(
     number = _GRAINS[grain]
     # An interval ends for this purpose with the last moment that facts of its key have; so open ones need no far end.
     ends = bare.groupBy(*keys).agg(F.max(at).alias("_last"))
-    moved = changed_intervals(old, new, on, valid_from, valid_to).join(ends, keys).withColumn("_stop", F.least(F.coalesce(valid_to, "_last"), "_last")).filter(F.col(valid_from) <= F.col("_stop"))
+    moved = changed_intervals(old, new, on, valid_from, valid_to).join(ends.hint("merge"), keys).withColumn("_stop", F.least(F.coalesce(valid_to, "_last"), "_last")).filter(F.col(valid_from) <= F.col("_stop"))
     pieces = moved.select(
         *(F.col(k).alias(f"_k_{k}") for k in keys), F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), F.explode(F.sequence(number(F.col(valid_from)), number(F.col("_stop")))).alias("_piece")
     )
     inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     hit = bare.withColumn("_own", number(F.col(at)))
-    hit = hit.join(pieces, [*(hit[k] == pieces[f"_k_{k}"] for k in keys), hit["_own"] == pieces["_piece"], inside], "left_semi").drop("_own")
-    return asof_join(hit, new, on, at, valid_from, valid_to, keep, grain).select(*fact.columns)
+    hit = hit.join(pieces.hint("merge"), [*(hit[k] == pieces[f"_k_{k}"] for k in keys), hit["_own"] == pieces["_piece"], inside], "left_semi").drop("_own")
+    return asof_join(hit, new, on, at, valid_from, valid_to, keep, grain, last).select(*fact.columns)
 
 
 def current_join(fact: DataFrame, versions: DataFrame, on: str | list[str], columns: list[str], flag: str = "is_current") -> DataFrame:

@@ -255,9 +255,14 @@ def _owned(out: DataFrame) -> DataFrame:
     return longs(out.select("l_orderkey", "l_linenumber", "l_shipdate", "customer_id", "version_key"), "l_linenumber")
 
 
+def _last_order(spark, sf_dir):
+    return B.read(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("timestamp")).first()[0]
+
+
 @query(_ASOF)
 def asof_join(spark, sf_dir):
-    return _owned(joins.asof_join(_shipped(spark, sf_dir), B.versions(spark, sf_dir), "customer_id", "at", columns=["version_key"]))
+    # By year: a customer's versions begin on days, so a year has 366 at most, and few of them are repeated.
+    return _owned(joins.asof_join(_shipped(spark, sf_dir), B.versions(spark, sf_dir), "customer_id", "at", columns=["version_key"], grain="year", last=_last_order(spark, sf_dir)))
 
 
 @query(_ASOF)

@@ -1,7 +1,10 @@
 """Orders about the first month, month ends and clock changes, in every zone: the queries against their SQL."""
 
+import datetime
+
 import duckdb
 import pytest
+from lodestream.operators.joins import asof_join
 from lodestream.plans import queries as commerce
 from test_queries import TABLES, rows
 
@@ -30,3 +33,24 @@ def test_orders_at_bounds_match_sql(spark, bounds, name):
         con.sql(f"create view {t} as select * from '{bounds}/{t}.parquet'")
     ours, theirs = commerce.QUERIES[name](spark, bounds), con.sql(commerce.ORACLE_SQL[name])
     assert rows(ours.columns, [tuple(r) for r in ours.collect()]) == rows(theirs.columns, theirs.fetchall())
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_asof_join_repeats_versions_by_year(spark, smallest):
+    plan = _plan(commerce.QUERIES["asof_join"](spark, smallest))
+    # No month is numbered: a version is repeated for each year that it touches only.
+    assert "year(" in plan and "month(" not in plan
+    assert "strategy=merge" in plan
+
+
+def test_asof_join_with_a_known_last_moment(spark):
+    at = datetime.datetime
+    versions = spark.createDataFrame([(1, at(2020, 1, 31), at(2020, 3, 1), "a"), (1, at(2020, 3, 1), at(2022, 1, 1), "b"), (1, at(2022, 1, 1), None, "c"), (2, at(2021, 5, 1), None, "d")], "k int, valid_from timestamp, valid_to timestamp, v string")
+    facts = spark.createDataFrame([(n, k, at(2019 + n // 12, n % 12 + 1, 1)) for n in range(60) for k in (1, 2, 3)], "n int, k int, at timestamp")
+    want = sorted(asof_join(facts, versions, "k", "at", columns=["v"]).collect(), key=str)
+    for grain in ("day", "month", "year"):
+        for last in (None, at(2022, 1, 1), at(2030, 1, 1)):
+            assert sorted(asof_join(facts, versions, "k", "at", columns=["v"], grain=grain, last=last).collect(), key=str) == want
