@@ -274,10 +274,17 @@ def asof_join_one_pass(spark, sf_dir):
 @query(_ASOF)
 def asof_repaired(spark, sf_dir):
     """The same rows by repair: joined first to versions of which every fifth is missing, then only where those came late."""
-    versions = B.versions(spark, sf_dir)
-    early = versions.filter("version_key % 5 <> 0").withColumn("valid_to", following("valid_from", "customer_id", ["valid_from"]))
-    fact = joins.asof_join(_shipped(spark, sf_dir), early, "customer_id", "at", columns=["version_key"])
-    mended = joins.asof_repair(fact, early, versions, "customer_id", "at", columns=["version_key"])
+    path, last = scratch(spark), _last_order(spark, sf_dir)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    # Repair reads its tables several times: as plans they would be built each time, with all their joins at once.
+    versions = stored(B.versions(spark, sf_dir), "versions")
+    early = stored(versions.filter("version_key % 5 <> 0").withColumn("valid_to", following("valid_from", "customer_id", ["valid_from"])), "early")
+    fact = stored(joins.asof_join(_shipped(spark, sf_dir), early, "customer_id", "at", columns=["version_key"], grain="year", last=last), "fact")
+    mended = joins.asof_repair(fact, early, versions, "customer_id", "at", columns=["version_key"], grain="year", last=last)
     return _owned(incremental.upsert(fact, mended, ["l_orderkey", "l_linenumber", "l_shipdate"]))
 
 

@@ -54,3 +54,11 @@ def test_asof_join_with_a_known_last_moment(spark):
     for grain in ("day", "month", "year"):
         for last in (None, at(2022, 1, 1), at(2030, 1, 1)):
             assert sorted(asof_join(facts, versions, "k", "at", columns=["v"], grain=grain, last=last).collect(), key=str) == want
+
+
+def test_asof_repaired_reads_stored_tables(spark, smallest):
+    # As one plan it joined 15 times, and broadcasts of all joins at once filled the driver.
+    out = commerce.QUERIES["asof_repaired"](spark, smallest)
+    plan = _plan(out)
+    assert plan.count("Join ") <= 7
+    assert "fact" in str(out.inputFiles())
