@@ -161,3 +161,26 @@ def test_envelopes(spark):
     assert got.columns[:3] == ["id", "v", "_op"]
     assert [(r["id"], r["v"], r["_op"], r["_table"], r["_kafka_offset"]) for r in got.orderBy("_kafka_offset").collect()] == [(1, "x", "c", "t", 0), (2, "y", "d", "t", 1), (None, None, "u", "t", 2), (4, None, "d", "t", 3)]
     assert [r["value"] for r in unparseable(records(spark, *rows)).collect()] == ["{", "3"]
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    """What a micro-batch keeps is parsed already: no plan over it parses text again."""
+    from lodestream.operators import changelog
+    from lodestream.streaming import ingest as module
+
+    seen = []
+
+    def flushed(batch, *rest):
+        for df in (changelog.parse_events(batch), changelog.unparseable(batch)):
+            plan = df._jdf.queryExecution().withCachedData().toString()
+            seen.append("InMemoryRelation" in plan and "parse_json" not in plan.split("InMemoryRelation")[0])
+        return handled(batch, *rest)
+
+    handled = module.handle
+    monkeypatch.setattr(module, "handle", flushed)
+    lines = [(event({"id": k, "amount": k, "note": "x"}), "shop.public.t", 0, k, AT) for k in range(5)] + [("{bad", "shop.public.t", 0, 5, AT)]
+    spark.createDataFrame(lines, RECORD).write.json(f"{tmp_path}/in/a")
+    run = module.ingest(module.files(spark, f"{tmp_path}/in/*"), "t", None, Registry(spark, f"{tmp_path}/registry"), f"{tmp_path}/raw", f"{tmp_path}/checkpoint", once=True)
+    run.awaitTermination()
+    assert seen == [True, True]
+    assert sinks.read_table(spark, f"{tmp_path}/raw/t").count() == 5
