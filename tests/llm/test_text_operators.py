@@ -407,3 +407,21 @@ def test_scores_against_brute_force(spark, edge, documents, piece_vocabulary, mo
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
     if head == 3:
         assert lattice_lm.score_texts(docs.limit(0), PIECES).count() == 0
+
+
+def test_every_finding_trains_and_calibrates(spark, monkeypatch):
+    """More windows than one part holds: all of them are counted, in parts whose networks are averaged, and reruns agree."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    key = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n))
+    docs = spark.createDataFrame([(i, f"{word(7)} {word(12)} {rng.choice(['token', 'secret', 'api_key'])} = {key(rng.randint(14, 40))} {word(5)}") for i in range(900)], "doc_id long, text string")
+    fit = secret_scan.Fit(rows=250)
+    net = secret_scan.fitted(docs, fit)
+    # Findings and their copies, words and compounds of them.
+    assert net.aside == (1800, 1800)
+    assert net.recall >= fit.recall and net.alarms < 0.05
+    assert (again := secret_scan.fitted(docs.repartition(3), fit)).threshold == pytest.approx(net.threshold, rel=1e-9) and (again.filters == net.filters).all()
+    y = np.arange(200) % 2 > 0
+    logit = np.where(y, 1.0, -1.0) + np.sin(np.arange(200))
+    table = spark.createDataFrame([(float(a), bool(b)) for a, b in zip(logit, y, strict=True)], "logit double, secret boolean")
+    assert secret_scan._calibrated_over(table, 100, 100) == pytest.approx(secret_scan._calibrated(logit, y.astype(float)), rel=1e-6)
