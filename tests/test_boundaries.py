@@ -4,8 +4,10 @@ import datetime
 
 import duckdb
 import pytest
+from lodestream.operators import incremental
 from lodestream.operators.joins import asof_join
 from lodestream.plans import queries as commerce
+from lodestream.sources.published import Published
 from test_queries import TABLES, rows
 
 DAYS = ("1995-01-01", "1995-01-31", "1999-10-31", "2000-03-26", "2000-04-02", "2001-10-28", "1996-11-01", "1996-11-30")
@@ -62,3 +64,9 @@ def test_asof_repaired_reads_stored_tables(spark, smallest):
     plan = _plan(out)
     assert plan.count("Join ") <= 7
     assert "fact" in str(out.inputFiles())
+
+
+def test_a_full_load_leaves_one_file_a_partition(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 16).selectExpr("id as k", "cast(id % 5 as string) as month")
+    incremental.load(spark, f"{tmp_path}/fact", lambda target: rows, "k", "full", partition_by="month")
+    assert len(Published(spark, f"{tmp_path}/fact").files()) == 5
