@@ -184,3 +184,25 @@ def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
     run.awaitTermination()
     assert seen == [True, True]
     assert sinks.read_table(spark, f"{tmp_path}/raw/t").count() == 5
+
+
+def test_nothing_is_taken_out_of_a_kept_batch_twice(spark, tmp_path, monkeypatch):
+    """What a micro-batch keeps has its fields taken out already, and each value of the order of delivery as a column of its own."""
+    from lodestream.streaming import ingest as module
+
+    seen = []
+
+    def flushed(batch, *rest):
+        plan = parse_events(batch)._jdf.queryExecution().withCachedData().toString()
+        kinds = {f.name: f.dataType for f in batch.schema}
+        seen.append("variant_get" not in plan.split("InMemoryRelation")[0] and not any(isinstance(k, T.StructType) for k in kinds.values()))
+        return handled(batch, *rest)
+
+    handled = module.handle
+    monkeypatch.setattr(module, "handle", flushed)
+    lines = [(json.dumps({"payload": json.loads(event({"id": k}))}) if k % 2 else event({"id": k}, op="ucd"[k % 3]), "shop.public.t", 0, k // 2, AT) for k in range(8)] + [(v, "shop.public.t", 0, 9, AT) for v in ("{bad", '{"a": 1}', "3", None)]
+    spark.createDataFrame(lines, RECORD).coalesce(1).write.json(f"{tmp_path}/in/a")
+    module.ingest(module.files(spark, f"{tmp_path}/in/*"), "t", None, Registry(spark, f"{tmp_path}/registry"), f"{tmp_path}/raw", f"{tmp_path}/checkpoint", once=True).awaitTermination()
+    assert seen == [True]
+    assert sorted(r["id"] for r in sinks.read_table(spark, f"{tmp_path}/raw/t").collect()) == [1, 3, 5, 7]
+    assert sorted(r["value"] for r in spark.read.json(f"{tmp_path}/raw/_dead/t/records").collect()) == ["3", "{bad"]

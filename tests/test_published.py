@@ -162,3 +162,20 @@ def test_a_folder_without_a_manifest_is_a_table(spark, tmp_path):
     sinks.placed(batch(spark, 50)).write.partitionBy(*sinks.LAYOUT).parquet(path)
     sinks.write_batch(batch(spark, 50, 25, shift=1), path)
     assert sinks.read_table(spark, path).count() == 75 and spark.read.parquet(path).count() == 75
+
+
+def test_a_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
+    """Copies of an offset and rows of a directory meet in one shuffle: the rows that are written come out of a single exchange."""
+    configured(spark)
+    path, plans, replace = str(tmp_path / "raw"), [], Published.replace
+
+    def heard(self, rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0].count("Exchange "))
+        return replace(self, rows, *args, **kwargs)
+
+    monkeypatch.setattr(Published, "replace", heard)
+    sinks.write_batch(batch(spark, 300), path)
+    sinks.write_batch(batch(spark, 300, shift=1), path)
+    assert plans == [1, 1]
+    table = sinks.raw_table(spark, path)
+    assert sinks.read_table(spark, path).count() == 300 and all(len(x) == 1 for x in [table.files({k}) for k in map(directory_key, (f.rpartition("/")[0] for f in table.files()))])
