@@ -179,3 +179,12 @@ def test_a_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
     assert plans == [1, 1]
     table = sinks.raw_table(spark, path)
     assert sinks.read_table(spark, path).count() == 300 and all(len(x) == 1 for x in [table.files({k}) for k in map(directory_key, (f.rpartition("/")[0] for f in table.files()))])
+
+
+def test_distinct_offsets_are_counted_without_shuffling_rows(spark):
+    from lodestream.plans.ingest_queries import _counted
+
+    rows = spark.createDataFrame([(p, o) for p in (0, 1) for o in (0, 5, 5, 32_767, 32_768, 99_999)], "_kafka_partition int, _kafka_offset long")
+    out = _counted(rows, "write", "now")
+    assert [tuple(r) for r in out.collect()] == [("write", "now", 12, 10, 2 * (5 + 5 + 32_767 + 32_768 + 99_999))]
+    assert "distinct" not in out._jdf.queryExecution().executedPlan().toString().lower().replace("n_distinct", "")
