@@ -188,3 +188,19 @@ def test_distinct_offsets_are_counted_without_shuffling_rows(spark):
     out = _counted(rows, "write", "now")
     assert [tuple(r) for r in out.collect()] == [("write", "now", 12, 10, 2 * (5 + 5 + 32_767 + 32_768 + 99_999))]
     assert "distinct" not in out._jdf.queryExecution().executedPlan().toString().lower().replace("n_distinct", "")
+
+
+def test_a_table_of_many_files_is_opened_by_few_tasks(spark, tmp_path):
+    """Tasks that look up files do not grow with their number."""
+    configured(spark)
+    table = Published(spark, str(tmp_path / "t"), ["k"])
+    table.replace(spark.range(80).select("id", F.col("id").alias("k")).coalesce(1), None)
+    sc = spark.sparkContext
+    sc.setJobGroup("open", "open")
+    try:
+        assert len(table.read().inputFiles()) == 80
+        jobs = sc.statusTracker().getJobIdsForGroup("open")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    assert sum(tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds) <= 32
